@@ -175,9 +175,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    layout = spark.read.parquet(path).schema
-    return spark.readStream.schema(layout).option("maxFilesPerTrigger", 1000).parquet(path)
+    """The table as a stream of its files, whether it is one file or a folder of them."""
+    layout = table(spark, sf_dir, name).schema
+    # a pattern, as the file source takes a plain path for a folder
+    pattern = f"{sf_dir}/[{name[0]}]{name[1:]}.parquet"
+    return spark.readStream.schema(layout).option("maxFilesPerTrigger", 1000).parquet(pattern)
 
 
 def view_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -289,15 +289,15 @@ def parse_transaction_time(spark, sf_dir):
     + f"""select transaction_number, transaction_time, p.card_number,
        {age_sql('date_of_birth', 'transaction_time')} as age_at_transaction,
        {age_sql('transaction_time', 'date_of_birth')} as age_reversed
-from payments p left join customers c on p.card_number = c.card_number""",
+from payments p join customers c on p.card_number = c.card_number""",
 )
 def age_at_transaction(spark, sf_dir):
-    """Ages, negative ages, and null for cards without a customer."""
+    """Ages, and negative ages when the dates are swapped."""
     born, at = F.col("date_of_birth"), F.col("transaction_time")
     customers = view(spark, sf_dir, "customers").select("card_number", "date_of_birth")
     return (
         view(spark, sf_dir, "payments")
-        .join(customers, "card_number", "left")
+        .join(customers, "card_number")
         .select(
             "transaction_number",
             "transaction_time",

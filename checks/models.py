@@ -236,7 +236,7 @@ def balanced_training_set(spark, sf_dir):
 @query(
     "undersampled_classes",
     with_views("payments")
-    + """select is_fraud as label, case when is_fraud = 1 then count(*) end as n_kept, true as is_near
+    + """select is_fraud as label, case when is_fraud = 1 then count(*) else 0 end as n_kept, true as is_near
 from payments group by is_fraud""",
 )
 def undersampled_classes(spark, sf_dir):
@@ -249,7 +249,7 @@ def undersampled_classes(spark, sf_dir):
     # a number that repeats is kept or left out as a whole, which widens the spread
     near = F.abs(F.col("n") - sizes[1]) <= 8 * F.sqrt(F.lit(float(sizes[1])))
     return kept.agg(F.count(F.lit(1)).alias("n")).select(
-        "label", F.when(F.col("label") == 1, F.col("n")).alias("n_kept"), near.alias("is_near")
+        "label", F.when(F.col("label") == 1, F.col("n")).otherwise(0).alias("n_kept"), near.alias("is_near")
     )
 
 
@@ -292,7 +292,7 @@ def rf_fit_predict(spark, sf_dir):
 @query(
     "model_roundtrip",
     with_views("history")
-    + "select is_fraud as label, count(*) as n, 0 as n_different from history group by is_fraud",
+    + "select is_fraud as label, count(*) as n, cast(0 as bigint) as n_different from history group by is_fraud",
 )
 def model_roundtrip(spark, sf_dir):
     """Saved and loaded models predict what the fitted ones predict, row by row."""

@@ -16,7 +16,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def normal(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
     rows = [
-        tuple(None if value is None or value != value else _plain(value) for value in row)
+        tuple(None if pd.isna(value) else _plain(value) for value in row)
         for row in frame.itertuples(index=False)
     ]
     return sorted(rows, key=repr)

@@ -33,7 +33,9 @@ def fit_forest(
     )
     if weight:
         forest = forest.setWeightCol(weight)
-    return forest.fit(df)
+    # the copy leaves the training summary behind: it holds the session, which cannot be sent
+    # to tasks once the session has observed metrics
+    return forest.fit(df).copy()
 
 
 def score(
