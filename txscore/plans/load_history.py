@@ -25,7 +25,9 @@ def enriched_history(raw: DataFrame, customers: DataFrame) -> DataFrame:
     return enrich(clean_transactions(raw), customers)
 
 
-def load_transactions(spark: SparkSession, cfg: Settings, load_id: str) -> dict[str, int]:
+def load_transactions(
+    spark: SparkSession, cfg: Settings, load_id: str, compact: bool = False
+) -> dict[str, int]:
     """Store history payments by class, and count those that belong nowhere on the way.
 
     The counts are taken in the pass that writes, so the files are read once.
@@ -53,7 +55,8 @@ def load_transactions(spark: SparkSession, cfg: Settings, load_id: str) -> dict[
         F.count_if(~known).alias("unknown_card"),
         F.count_if(known & ~labelled).alias("no_label"),
     )
-    write_by_class(with_features(counted.filter(known)), cfg, "loaded", load_id, 0)
+    stored = with_features(counted.filter(known))
+    write_by_class(stored, cfg, "loaded", load_id, 0, compact)
     return seen.get
 
 
@@ -77,8 +80,12 @@ def history_rejects(spark: SparkSession, cfg: Settings) -> DataFrame:
 
 
 def load_history(
-    spark: SparkSession, cfg: Settings, load_id: str, as_of: Column | None = None
+    spark: SparkSession,
+    cfg: Settings,
+    load_id: str,
+    as_of: Column | None = None,
+    compact: bool = False,
 ) -> dict[str, int]:
     """Customers, then transactions. Running the same load again leaves one copy."""
     load_customers(spark, cfg, load_id, as_of)
-    return load_transactions(spark, cfg, load_id)
+    return load_transactions(spark, cfg, load_id, compact)

@@ -83,16 +83,26 @@ def replace_slice(
 
 
 def write_by_class(
-    df: DataFrame, cfg: Settings, label_source: str, run_id: str, batch_id: int
+    df: DataFrame,
+    cfg: Settings,
+    label_source: str,
+    run_id: str,
+    batch_id: int,
+    compact: bool = False,
 ) -> None:
     """Store payments by class; `is_fraud` other than 0 or 1 goes to neither class.
 
     Files: one pass writes both classes as folders of one table, so nothing is cached and the
     input is not read twice. Connector: two tables, two filtered writes over a cached frame.
+
+    Each task writes a file per class. `compact` shuffles the rows by class first, into even
+    pieces, so that the rare class does not end up in as many small files as there are tasks.
     """
     label = F.col("is_fraud").cast("int")
     rows = df.select(*SCORED.fieldNames(), label.alias("is_fraud")).filter(label.isin(*CLASSES))
     if cfg.stores_files:
+        if compact:
+            rows = rows.hint("rebalance", "is_fraud")
         slices = {"label_source": label_source, "run_id": run_id, "batch_id": batch_id}
         replace_slice(rows, cfg, cfg.scored_table, slices, ("is_fraud",))
         return

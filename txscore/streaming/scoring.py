@@ -57,7 +57,7 @@ def score_batch(
     matched = match_customers(parse_payments(records, cfg.source_zone), customers).persist()
     try:
         scored = rename_columns(scorer(accepted(matched)), {"prediction": "is_fraud"})
-        write_by_class(scored, cfg, "predicted", run_id, batch_id)
+        write_by_class(scored, cfg, "predicted", run_id, batch_id, compact=True)
         replace_slice(rejected(matched), cfg, cfg.reject_table, slices)
         replace_slice(max_offset_per_partition(matched), cfg, cfg.offset_table, slices)
     finally:
