@@ -1,0 +1,235 @@
+import pytest
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from txscore.operators import balance, features
+from txscore.operators.evaluate import accuracy, confusion_counts, quality
+from txscore.operators.forest import fit_forest, score
+from txscore.operators.labels import label_index, with_position
+from txscore.operators.splits import hash_split, random_split
+from txscore.plans.train_models import CLUSTERED, TrainingOptions, train
+from txscore.schemas import MODEL_COLUMNS
+
+
+def rows(spark, n=3_000):
+    """Payments in which large amounts in one category are fraud."""
+    return spark.range(0, n, 1, 4).select(
+        F.concat(F.lit("n"), "id").alias("transaction_number"),
+        (F.col("id") % 40).cast("string").alias("card_number"),
+        F.expr("element_at(array('food', 'travel', 'gas'), int(id % 3) + 1)").alias("category"),
+        F.concat(F.lit("m"), F.col("id") % 7).alias("merchant_name"),
+        (F.col("id") % 500).cast("double").alias("distance_from_customer_address"),
+        (F.col("id") * 37 % 1000).cast("double").alias("amount"),
+        (F.col("id") % 60 + 18).cast("int").alias("age_at_transaction"),
+        F.expr("int(id % 3 = 1 and id * 37 % 1000 >= 800)").alias("label"),
+    )
+
+
+@pytest.fixture(scope="module")
+def history(spark):
+    return rows(spark).cache()
+
+
+def test_positions_are_global(spark):
+    numbered = with_position(spark.range(0, 1000, 1, 7), "at", F.col("id").desc())
+    assert numbered.filter("at <> 999 - id").count() == 0
+    assert numbered.count() == 1000
+
+
+def test_label_index_equals_string_indexer(spark):
+    df = spark.range(5_000).selectExpr("string(pmod(hash(id), 300) % (1 + id % 50)) as s")
+    fitted = StringIndexer(inputCol="s", outputCol="i").fit(df).labels
+    mine = label_index(df, ["s"]).orderBy("label_index").collect()
+    assert [r["label"] for r in mine] == list(fitted)
+    assert [r["label_index"] for r in mine] == list(range(len(fitted)))
+
+
+def test_stage_order_and_types(history):
+    model = features.fit_preprocessor(history.select(*MODEL_COLUMNS), leave_out=())
+    assert model.stages[-1].getInputCols() == [
+        "card_number_encoded",
+        "category_encoded",
+        "merchant_name_encoded",
+        "distance_from_customer_address",
+        "amount",
+        "age_at_transaction",
+    ]
+    assert model.transform(history).first()["features"].size == 40 + 3 + 7 + 3
+
+
+def test_label_column_is_left_out(history):
+    model = features.fit_preprocessor(history.select(*MODEL_COLUMNS, "label"), label_col="label")
+    assert "label" not in model.stages[-1].getInputCols()
+
+
+def test_unseen_and_null_set_no_slot(spark, history):
+    model = features.fit_preprocessor(history.select(*MODEL_COLUMNS))
+    odd = history.limit(2).withColumn(
+        "category", F.when(F.col("merchant_name") == "m0", "new").otherwise(None)
+    )
+    for row in model.transform(odd).select(vector_to_array("features").alias("v")).collect():
+        assert row["v"][:3] == [0.0, 0.0, 0.0] and sum(row["v"][3:10]) == 1.0
+
+
+def test_wide_column_is_hashed_not_cut(history):
+    model = features.fit_preprocessor(
+        history.select(*MODEL_COLUMNS), leave_out=(), max_labels=20, hash_slots=1 << 12
+    )
+    assert model.stages[-1].getInputCols()[-1] == features.HASHED
+    vectors = model.transform(history).select(vector_to_array("features").alias("v"))
+    # each card still sets one slot of its own
+    cards = vectors.select(F.expr("array_position(slice(v, 14, 4096), 1D)").alias("slot"))
+    assert cards.filter("slot = 0").count() == 0
+    assert cards.distinct().count() == 40
+
+
+def test_usable_rows(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (float("nan"),)], "x double")
+    assert df.filter(features.usable(["x"])).count() == 1
+
+
+def test_class_weights_even_out(history):
+    weights = {r["label"]: r for r in balance.class_weights(history).collect()}
+    assert weights[1]["weight"] == 1.0
+    assert weights[0]["weight"] * weights[0]["n"] == pytest.approx(weights[1]["n"])
+    sizes = balance.class_sizes(history)
+    total = balance.weighted(history, sizes).groupBy("label").agg(F.sum("weight").alias("w"))
+    assert [round(r["w"], 6) for r in total.collect()] == [sizes[1]] * 2
+
+
+def test_one_class_only_is_an_error(history):
+    with pytest.raises(ValueError, match="both classes"):
+        balance.class_sizes(history.filter("label = 0"))
+
+
+def test_undersampling_keeps_the_minority_and_repeats(history):
+    sizes = balance.class_sizes(history)
+    kept = balance.undersampled(history, sizes, "transaction_number")
+    counts = {r["label"]: r["count"] for r in kept.groupBy("label").count().collect()}
+    assert counts[1] == sizes[1]
+    assert abs(counts[0] - sizes[1]) < 6 * sizes[1] ** 0.5
+    again = balance.undersampled(history.repartition(3), sizes, "transaction_number")
+    assert kept.select("transaction_number").exceptAll(again.select("transaction_number")).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def vectors(history):
+    model = features.fit_preprocessor(history.select(*MODEL_COLUMNS))
+    return model.transform(history).select("transaction_number", "features", "label").cache()
+
+
+def test_centres_stand_for_all_rows(vectors):
+    majority = vectors.filter("label = 0")
+    centers = balance.cluster_centers(majority, 500, max_clusters=8)
+    assert centers.count() == 8
+    assert centers.agg(F.sum("n")).first()[0] == majority.count()
+    minority = vectors.filter("label = 1")
+    size = minority.count()
+    both = balance.clustered(minority, centers, size)
+    weights = {r["label"]: r["w"] for r in both.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+    assert weights[0] == pytest.approx(size) and weights[1] == size
+    assert not both.schema["features"].metadata
+
+
+def test_as_many_centres_as_positives_weigh_one(vectors):
+    centers = balance.cluster_centers(vectors.filter("label = 0"), 12)
+    few = vectors.filter("label = 1").limit(12)
+    both = balance.clustered(few, centers, 12)
+    assert both.count() == 24
+    assert [r["weight"] for r in both.select("weight").distinct().collect()] == [1.0]
+
+
+def test_fewer_distinct_rows_than_centres(spark, vectors):
+    three = vectors.select("features").limit(3)
+    repeated = three.crossJoin(spark.range(5)).select("features")
+    assert 1 <= balance.cluster_centers(repeated, 10).count() <= 3
+
+
+def test_fractions_of_centres_count(spark):
+    """Without the metadata step a forest reads 0.9 and 0.1 in a one-hot slot alike."""
+    model = features.fit_preprocessor(spark.createDataFrame([("a",), ("b",)], "s string"))
+    ones = model.transform(spark.createDataFrame([("a",)] * 40, "s string"))
+    centers = spark.createDataFrame([(1, [0.4, 0.6])] * 40, "n long, center array<double>")
+    centers = centers.select("n", balance.array_to_vector("center").alias("features"))
+    both = balance.clustered(ones, centers, 40)
+    forest = fit_forest(both, weight="weight")
+    assert confusion_counts(forest.transform(both)).filter("label <> prediction").count() == 0
+
+
+def test_accuracy_and_quality(spark):
+    pairs = [(1, 1.0), (1, 0.0), (0, 0.0), (0, 0.0), (0, 1.0)]
+    df = spark.createDataFrame(pairs, "label int, prediction double")
+    assert tuple(accuracy(df).first()) == (5, 0.6)
+    found = quality(df).first().asDict()
+    assert found == {
+        "n_test": 5,
+        "accuracy": 0.6,
+        "true_positives": 1,
+        "false_positives": 1,
+        "false_negatives": 1,
+        "true_negatives": 2,
+    }
+
+
+def test_hash_split_is_whole_and_independent_of_layout(history):
+    train_part, test_part = hash_split(history, "transaction_number")
+    assert train_part.count() + test_part.count() == history.count()
+    assert 0.65 < train_part.count() / history.count() < 0.75
+    moved, _ = hash_split(history.repartition(5), "transaction_number")
+    assert moved.select("transaction_number").exceptAll(train_part.select("transaction_number")).isEmpty()
+
+
+def test_null_keys_train(spark):
+    train_part, test_part = hash_split(spark.createDataFrame([(None,)], "k string"), "k")
+    assert (train_part.count(), test_part.count()) == (1, 0)
+
+
+def test_random_split_repeats(history):
+    first, second = (random_split(history, seed=5)[0].count() for _ in range(2))
+    assert first == second
+
+
+@pytest.mark.parametrize(
+    "options",
+    [
+        TrainingOptions(trees=5),
+        TrainingOptions(method="undersample", trees=5),
+        TrainingOptions(method="kmeans", trees=5, max_clusters=20, kmeans_iterations=5),
+    ],
+    ids=lambda o: o.method,
+)
+def test_training_finds_fraud(history, options):
+    trained = train(history.select("transaction_number", *MODEL_COLUMNS, "label"), options)
+    row = trained.metrics.first()
+    assert row["n_rows"] == history.count() and row["n_unusable"] == 0
+    assert row["true_positives"] > 0.8 * (row["true_positives"] + row["false_negatives"])
+    counts = confusion_counts(score(history, trained.preprocessor, trained.forest))
+    assert counts.filter("label = 1 and prediction = 1").count() == 1
+    assert not trained.forest.hasSummary
+
+
+def test_clustered_mode_measures_balanced_rows(history):
+    from dataclasses import replace
+
+    options = replace(CLUSTERED, trees=5, max_clusters=20, kmeans_iterations=3)
+    small = history.select("transaction_number", *MODEL_COLUMNS, "label")
+    row = train(small, options).metrics.first()
+    positives = history.filter("label = 1").count()
+    assert row["evaluated_on"] == "balanced"
+    assert 0 < row["n_test"] < positives + 20
+
+
+def test_rows_with_missing_numbers_are_counted(history):
+    broken = history.select("transaction_number", *MODEL_COLUMNS, "label").withColumn(
+        "amount", F.when(F.col("transaction_number") != "n3", F.col("amount"))
+    )
+    row = train(broken, TrainingOptions(trees=2)).metrics.first()
+    assert (row["n_rows"], row["n_unusable"]) == (history.count() - 1, 1)
+
+
+def test_unknown_method_is_an_error(vectors):
+    from txscore.plans.train_models import balanced_rows
+
+    with pytest.raises(ValueError, match="luck"):
+        balanced_rows(vectors, TrainingOptions(method="luck"))
