@@ -232,4 +232,4 @@ def test_unknown_method_is_an_error(vectors):
     from txscore.plans.train_models import balanced_rows
 
     with pytest.raises(ValueError, match="luck"):
-        balanced_rows(vectors, TrainingOptions(method="luck"))
+        balanced_rows(vectors, {0: 1, 1: 1}, TrainingOptions(method="luck"))

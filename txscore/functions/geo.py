@@ -16,13 +16,13 @@ def _haversine(angle: Column) -> Column:
 def distance_km(latitude: Column, longitude: Column, to_latitude: Column, to_longitude: Column) -> Column:
     """Great-circle distance in kilometres, rounded half up; null if any coordinate is null.
 
-    Rounding can push the haversine of two opposite points just above 1, so it is held there.
+    Rounding can push the haversine of two opposite points just above 1, which must not make
+    the root below it fail.
     """
-    raw = _haversine(F.radians(to_latitude - latitude)) + (
+    share = _haversine(F.radians(to_latitude - latitude)) + (
         F.cos(F.radians(latitude))
         * F.cos(F.radians(to_latitude))
         * _haversine(F.radians(to_longitude - longitude))
     )
-    share = F.when(raw > 1.0, F.lit(1.0)).otherwise(raw)
-    central_angle = F.atan2(F.sqrt(share), F.sqrt(1 - share))
+    central_angle = F.atan2(F.sqrt(share), F.sqrt(F.greatest(1 - share, F.lit(0.0))))
     return F.round(central_angle * (2 * EARTH_RADIUS_KM), DISTANCE_DIGITS)

@@ -33,7 +33,10 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 def class_sizes(df: DataFrame, label: str = "label") -> dict[int, int]:
     """Rows of class 0 and 1; two rows reach the driver."""
     found = df.filter(F.col(label).isin(0, 1)).groupBy(label).count().collect()
-    sizes = {0: 0, 1: 0} | {int(row[label]): row["count"] for row in found}
+    return both_present({0: 0, 1: 0} | {int(row[label]): row["count"] for row in found})
+
+
+def both_present(sizes: dict[int, int]) -> dict[int, int]:
     if not all(sizes.values()):
         raise ValueError(f"training needs rows of both classes, found {sizes}")
     return sizes

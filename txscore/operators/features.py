@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
@@ -29,14 +29,6 @@ def string_columns(df: DataFrame, label_col: str = "", leave_out: Sequence[str]
     ]
 
 
-def number_columns(df: DataFrame, label_col: str = "", leave_out: Sequence[str] = LEAVE_OUT) -> list[str]:
-    return [
-        f.name
-        for f in df.schema
-        if not isinstance(f.dataType, T.StringType) and f.name != label_col and f.name not in leave_out
-    ]
-
-
 def usable(columns: Sequence[str]) -> Column:
     """True where every number can enter a vector."""
     ok = F.lit(True)
@@ -45,12 +37,9 @@ def usable(columns: Sequence[str]) -> Column:
     return ok
 
 
-def wide_columns(df: DataFrame, columns: Sequence[str], max_labels: int = MAX_LABELS) -> list[str]:
-    """Columns with more distinct values than may be listed one by one; one pass, one row."""
-    if not columns:
-        return []
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    return [c for c in columns if sizes[c] > max_labels]
+def distinct_counts(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that estimate the distinct values of columns, named like the columns."""
+    return [F.approx_count_distinct(c).alias(c) for c in columns]
 
 
 def feature_stages(
@@ -59,16 +48,19 @@ def feature_stages(
     leave_out: Sequence[str] = LEAVE_OUT,
     max_labels: int = MAX_LABELS,
     hash_slots: int = HASH_SLOTS,
+    distinct: Mapping[str, int] | None = None,
 ) -> list:
     """Stages by column type, in the order of the columns.
 
     Strings are indexed by frequency and one-hot encoded; a value that was not there at fit
     time, or null, sets no slot. A string column with more than `max_labels` values is hashed
     into a fixed number of slots, as its label list would not fit the driver. Every other
-    column passes through.
+    column passes through. `distinct` saves a pass if the distinct values are counted already.
     """
     strings = string_columns(df, label_col, leave_out)
-    hashed = wide_columns(df, strings, max_labels)
+    if distinct is None:
+        distinct = df.agg(*distinct_counts(strings)).first().asDict() if strings else {}
+    hashed = [c for c in strings if distinct[c] > max_labels]
     encoded = [c for c in strings if c not in hashed]
     stages: list = []
     if encoded:
@@ -95,8 +87,9 @@ def fit_preprocessor(
     leave_out: Sequence[str] = LEAVE_OUT,
     max_labels: int = MAX_LABELS,
     hash_slots: int = HASH_SLOTS,
+    distinct: Mapping[str, int] | None = None,
 ) -> PipelineModel:
-    stages = feature_stages(df, label_col, leave_out, max_labels, hash_slots)
+    stages = feature_stages(df, label_col, leave_out, max_labels, hash_slots, distinct)
     return Pipeline(stages=stages).fit(df)
 
 

@@ -11,13 +11,17 @@ TRAIN_SHARE = 0.7
 
 
 def in_training(key: Column, share: float = TRAIN_SHARE) -> Column:
-    """True for about `share` of the keys, the same ones on every run and after a lost executor."""
+    """True for about `share` of the keys, the same ones on every run and after a lost executor.
+
+    Rows without a key are training rows.
+    """
     bound = format(int(share * 16**HASH_DIGITS), f"0{HASH_DIGITS}x")
-    return F.substring(F.md5(key.cast("string")), 1, HASH_DIGITS) < bound
+    chosen = F.substring(F.md5(key.cast("string")), 1, HASH_DIGITS) < bound
+    return F.coalesce(chosen, F.lit(True))
 
 
 def hash_split(df: DataFrame, key: str, share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    chosen = F.coalesce(in_training(F.col(key), share), F.lit(True))
+    chosen = in_training(F.col(key), share)
     return df.filter(chosen), df.filter(~chosen)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.operators.enrich import customer_side, enrich, with_features
+from txscore.operators.enrich import ADDRESS_COLUMNS, customer_side, enrich, with_features
 from txscore.operators.history import clean_transactions, with_customer_age
 from txscore.schemas import CUSTOMER_CSV, CUSTOMER_TABLE, TRANSACTION_CSV
 from txscore.settings import Settings
@@ -25,6 +25,22 @@ def enriched_history(raw: DataFrame, customers: DataFrame) -> DataFrame:
     return enrich(clean_transactions(raw), customers)
 
 
+def matched_history(spark: SparkSession, cfg: Settings) -> DataFrame:
+    """Every history payment with its customer, if known, and `reject_reason`."""
+    customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
+    payments = clean_transactions(read_csv(spark, cfg.transaction_csv, TRANSACTION_CSV))
+    side = customer_side(customers).withColumnRenamed("card_number", "customer_card")
+    # payments without a card join nothing, and are kept from piling up on the null key
+    has_card = F.col("card_number").isNotNull()
+    key = F.coalesce("card_number", "transaction_number")
+    joined = payments.withColumn("join_key", key).join(
+        side, (F.col("join_key") == F.col("customer_card")) & has_card, "left"
+    )
+    no_label = ~F.coalesce(F.col("is_fraud").isin(0, 1), F.lit(False))
+    reason = F.when(F.col("customer_card").isNull(), "unknown_card").when(no_label, "no_label")
+    return joined.withColumn("reject_reason", reason).drop("join_key", "customer_card")
+
+
 def load_transactions(
     spark: SparkSession, cfg: Settings, load_id: str, compact: bool = False
 ) -> dict[str, int]:
@@ -32,51 +48,23 @@ def load_transactions(
 
     The counts are taken in the pass that writes, so the files are read once.
     """
-    customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
-    payments = clean_transactions(read_csv(spark, cfg.transaction_csv, TRANSACTION_CSV))
-    side = customer_side(customers).withColumn("is_known", F.lit(True))
-    # a payment without a card joins nothing, and is kept from piling up on the null key
-    key = F.coalesce("card_number", F.concat_ws(":", F.lit("\0"), "transaction_number"))
-    joined = (
-        payments.withColumn("join_key", key)
-        .join(
-            side.withColumnRenamed("card_number", "customer_card"),
-            F.col("join_key") == F.col("customer_card"),
-            "left",
-        )
-        .drop("join_key", "customer_card")
-    )
-    known = F.coalesce("is_known", F.lit(False))
-    labelled = F.coalesce(F.col("is_fraud").isin(0, 1), F.lit(False))
+    reason = F.col("reject_reason")
     seen = Observation()
-    counted = joined.observe(
+    counted = matched_history(spark, cfg).observe(
         seen,
-        F.count_if(known & labelled).alias("stored"),
-        F.count_if(~known).alias("unknown_card"),
-        F.count_if(known & ~labelled).alias("no_label"),
+        F.count_if(reason.isNull()).alias("stored"),
+        F.count_if(reason == "unknown_card").alias("unknown_card"),
+        F.count_if(reason == "no_label").alias("no_label"),
     )
-    stored = with_features(counted.filter(known))
+    stored = with_features(counted.filter(reason.isNull()))
     write_by_class(stored, cfg, "loaded", load_id, 0, compact)
     return seen.get
 
 
 def history_rejects(spark: SparkSession, cfg: Settings) -> DataFrame:
-    """The payments of the file that no class took, with the reason; for a look when there are any."""
-    customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
-    payments = clean_transactions(read_csv(spark, cfg.transaction_csv, TRANSACTION_CSV))
-    cards = customers.select("card_number")
-    without_card = payments.filter(F.col("card_number").isNull())
-    unknown = payments.filter(F.col("card_number").isNotNull()).join(
-        cards, "card_number", "left_anti"
-    )
-    no_label = payments.filter(~F.coalesce(F.col("is_fraud").isin(0, 1), F.lit(False))).join(
-        cards, "card_number", "left_semi"
-    )
-    return (
-        without_card.unionByName(unknown)
-        .withColumn("reject_reason", F.lit("unknown_card"))
-        .unionByName(no_label.withColumn("reject_reason", F.lit("no_label")))
-    )
+    """The history payments that no class took, with the reason; for a look when there are any."""
+    rejected = matched_history(spark, cfg).filter(F.col("reject_reason").isNotNull())
+    return rejected.drop(*ADDRESS_COLUMNS)
 
 
 def load_history(

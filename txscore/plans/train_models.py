@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from txscore.operators import balance, features
 from txscore.operators.evaluate import quality
 from txscore.operators.forest import DEPTH, MAX_BINS, TREES, fit_forest
-from txscore.operators.splits import TRAIN_SHARE, hash_split, random_split
+from txscore.operators.splits import TRAIN_SHARE, hash_split, in_training, random_split
 from txscore.schemas import MODEL_COLUMNS
 from txscore.settings import Settings
 from txscore.sources.models import save_models
@@ -59,9 +59,10 @@ def training_rows(stored: DataFrame, options: TrainingOptions) -> DataFrame:
     return stored.select(KEY, *MODEL_COLUMNS, F.col("is_fraud").alias("label"))
 
 
-def balanced_rows(vectors: DataFrame, options: TrainingOptions) -> tuple[DataFrame, str | None]:
+def balanced_rows(
+    vectors: DataFrame, sizes: dict[int, int], options: TrainingOptions
+) -> tuple[DataFrame, str | None]:
     """Balanced (features, label[, weight]) and the weight column, if there is one."""
-    sizes = balance.class_sizes(vectors)
     if options.method == "weights":
         return balance.weighted(vectors, sizes), balance.WEIGHT
     if options.method == "undersample":
@@ -85,25 +86,34 @@ def train(rows: DataFrame, options: TrainingOptions = TrainingOptions()) -> Trai
     """
     spark = rows.sparkSession
     usable = features.usable(NUMBERS)
+    holds_out = options.evaluate_on == "holdout"
+    trains = in_training(F.col(KEY), options.train_share) if holds_out else F.lit(True)
+    strings = features.string_columns(rows.select(*MODEL_COLUMNS), leave_out=options.leave_out)
     # seven narrow columns that every step below reads again
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         good = rows.filter(usable)
-        counts = rows.agg(
-            F.count_if(usable).alias("n_rows"), F.count_if(~usable).alias("n_unusable")
+        # all that has to be known before fitting, in one pass
+        known = rows.agg(
+            F.count_if(usable).alias("n_rows"),
+            F.count_if(~usable).alias("n_unusable"),
+            *[F.count_if(usable & trains & (F.col("label") == c)).alias(f"n_{c}") for c in (0, 1)],
+            *features.distinct_counts(strings),
         ).first()
+        sizes = balance.both_present({c: known[f"n_{c}"] for c in (0, 1)})
         preprocessor = features.fit_preprocessor(
             good.select(*MODEL_COLUMNS),
             leave_out=options.leave_out,
             max_labels=options.max_labels,
             hash_slots=options.hash_slots,
+            distinct={c: known[c] for c in strings},
         )
         vectors = preprocessor.transform(good).select(KEY, features.FEATURES, "label")
-        if options.evaluate_on == "holdout":
+        if holds_out:
             train_part, test = hash_split(vectors, KEY, options.train_share)
-            chosen, weight = balanced_rows(train_part, options)
+            chosen, weight = balanced_rows(train_part, sizes, options)
         else:
-            everything, weight = balanced_rows(vectors, options)
+            everything, weight = balanced_rows(vectors, sizes, options)
             chosen, test = random_split(everything, options.train_share, options.seed)
         forest = fit_forest(
             chosen,
@@ -120,7 +130,8 @@ def train(rows: DataFrame, options: TrainingOptions = TrainingOptions()) -> Trai
         [{
             "method": options.method,
             "evaluated_on": options.evaluate_on,
-            **counts.asDict(),
+            "n_rows": known["n_rows"],
+            "n_unusable": known["n_unusable"],
             **measured.asDict(),
         }],
         "method string, evaluated_on string, n_rows long, n_unusable long, n_test long,"

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # customers beyond the broadcast limit still fit a hash table per task: no sort of payments
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "67108864",
 }
 
 
