@@ -9,6 +9,7 @@ from txscore.settings import Settings
 from txscore.sources.models import newest_model_version
 from txscore.sources.tables import read_class, read_scored, read_table
 from txscore.operators.enrich import parse_payments
+from txscore.operators.latest import latest_scored
 from txscore.streaming.scoring import score_batch
 
 
@@ -81,3 +82,17 @@ def test_replay_to_text(spark, cfg, tmp_path):
     record = spark.createDataFrame([(text, 0, 0)], "value string, partition int, offset long")
     back = parse_payments(record, "Asia/Kolkata").first()
     assert back["reject_reason"] is None and back["amount"] == 9.5
+
+
+def test_latest_view_has_one_row_per_number(spark, sf_dir, cfg):
+    load_history(spark, cfg, "day-1")
+
+    def all_clean(payments):
+        return payments.withColumn("prediction", F.lit(0.0))
+
+    for batch in (0, 1):
+        score_batch(view(spark, sf_dir, "payments_json"), batch, "run", cfg, all_clean)
+    rows = read_scored(spark, cfg).filter("label_source = 'predicted'")
+    newest = latest_scored(rows)
+    assert newest.count() * 2 == rows.count()
+    assert newest.filter("batch_id <> 1").count() == 0

@@ -14,3 +14,15 @@ def latest_by_key(df: DataFrame, key: str, *newest_first: Column) -> DataFrame:
     """
     order = Window.partitionBy(key).orderBy(*newest_first)
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+
+
+def latest_scored(stored: DataFrame) -> DataFrame:
+    """One row per transaction number of stored payments: the last batch that wrote it wins.
+
+    Batches of one stream do not repeat rows. A stream that starts over from the stored
+    positions can, as can a sender that repeats itself; this is the view without repeats.
+    """
+    others = [c for c in stored.columns if c not in ("transaction_number", "batch_id")]
+    return latest_by_key(
+        stored, "transaction_number", F.col("batch_id").desc(), *[F.col(c).desc() for c in others]
+    )
