@@ -185,10 +185,12 @@ def test_hot_card_is_split(spark, hot_is_known):
         inner = enrich(rows, side)
         assert "skew=true" in executed(inner)
         assert inner.count() == known
-        matched = match_customers(rows, side)
+        # cached, as in the stream
+        matched = match_customers(rows, side).persist()
         assert "skew=true" in executed(matched)
         assert accepted(matched).count() == known
         assert rejected(matched).count() == 60_000 - known
+        matched.unpersist()
 
 
 def test_broken_records_do_not_share_a_join_key(spark):

@@ -168,6 +168,20 @@ def test_newest_models_are_picked_up(spark, cfg, inbox):
     assert read_scored(spark, cfg).select("run_id").distinct().count() == 2
 
 
+def test_micro_batches_adapt(spark, cfg, inbox):
+    """Skewed cards and small files rely on AQE, which plain streaming plans do not have."""
+    seen = {}
+
+    def look(payments):
+        conf = payments.sparkSession.conf
+        seen.update(aqe=conf.get("spark.sql.adaptive.enabled"), zone=conf.get("spark.sql.session.timeZone"))
+        return large_is_fraud(payments)
+
+    run(spark, cfg, watch(spark, inbox), look)
+    assert seen == {"aqe": "true", "zone": "UTC"}
+    assert len(read_scored(spark, cfg).inputFiles()) == 2
+
+
 def test_stream_output_is_compact(spark, cfg, inbox):
     batch = spark.read.parquet(inbox).repartition(50)
     score_batch(batch, 0, "run", cfg, large_is_fraud)

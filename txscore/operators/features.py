@@ -16,9 +16,10 @@ FEATURES = "features"
 HASHED = "hashed_labels"
 # a card says who paid, not how; one slot per card also grows with the data
 LEAVE_OUT = ("card_number",)
-# labels of a column are held by the driver and by every task that encodes
-MAX_LABELS = 10_000
-HASH_SLOTS = 1 << 14
+# labels of a column are held by the driver and by every task that encodes, and a forest keeps
+# four bytes per slot for every training row
+MAX_LABELS = 2_000
+HASH_SLOTS = 1 << 11
 
 
 def string_columns(df: DataFrame, label_col: str = "", leave_out: Sequence[str] = LEAVE_OUT) -> list[str]:

@@ -49,15 +49,20 @@ def load_transactions(
     The counts are taken in the pass that writes, so the files are read once.
     """
     reason = F.col("reject_reason")
+    matched = matched_history(spark, cfg)
+    if compact:
+        # before the counting: counts are exact only in the tasks that write, which run once
+        # each, while tasks before a shuffle run again if an executor is lost
+        matched = matched.hint("rebalance", "is_fraud")
     seen = Observation()
-    counted = matched_history(spark, cfg).observe(
+    counted = matched.observe(
         seen,
         F.count_if(reason.isNull()).alias("stored"),
         F.count_if(reason == "unknown_card").alias("unknown_card"),
         F.count_if(reason == "no_label").alias("no_label"),
     )
     stored = with_features(counted.filter(reason.isNull()))
-    write_by_class(stored, cfg, "loaded", load_id, 0, compact)
+    write_by_class(stored, cfg, "loaded", load_id, 0)
     return seen.get
 
 

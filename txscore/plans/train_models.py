@@ -42,7 +42,9 @@ class TrainingOptions:
 
 
 # every string column encoded, cluster centres as class 0, quality measured on balanced rows
-CLUSTERED = TrainingOptions(method="kmeans", evaluate_on="balanced", leave_out=())
+CLUSTERED = TrainingOptions(
+    method="kmeans", evaluate_on="balanced", leave_out=(), max_labels=20_000
+)
 
 
 @dataclass(frozen=True)

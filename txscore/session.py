@@ -16,6 +16,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the same inside the micro-batches of the stream, whose join is cached before it is used
+    "spark.sql.adaptive.streaming.stateless.enabled": "true",
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # customers beyond the broadcast limit still fit a hash table per task: no sort of payments
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "67108864",
 }
