@@ -14,8 +14,10 @@ from checks.base import (
 )
 from checks.models import labelled, mostly_right
 from checks.scans import AS_OF
+from txscore.operators.enrich import accepted, match_customers, parse_payments
 from txscore.operators.history import with_customer_age
 from txscore.plans.train_models import TrainingOptions, train
+from txscore.schemas import SCORED_COLUMNS
 from txscore.sources.models import save_models
 from txscore.sources.tables import read_scored, upsert_snapshot
 from txscore.streaming.scoring import read_rejects, start_scoring, stored_offsets
@@ -54,6 +56,28 @@ def stream_scored(spark, sf_dir):
     return read_scored(spark, cfg).drop("run_id", "batch_id")
 
 
+@query(
+    "stream_enriched",
+    with_views("outcome")
+    + f'select partition, "offset", {SCORED_SQL} from outcome where reject_reason is null',
+)
+def stream_enriched(spark, sf_dir):
+    """The enrichment as one streaming plan: stream joined with a table, into a file sink."""
+    cfg = scratch_settings(spark)
+    payments = parse_payments(view_stream(spark, sf_dir, "payments_json"))
+    matched = match_customers(payments, view(spark, sf_dir, "customers"))
+    enriched = accepted(matched).select("partition", "offset", *SCORED_COLUMNS)
+    path = f"{cfg.warehouse}/enriched"
+    stream = (
+        enriched.writeStream.format("parquet")
+        .option("checkpointLocation", cfg.checkpoint_location)
+        .trigger(availableNow=True)
+        .start(path)
+    )
+    stream.awaitTermination()
+    return spark.read.schema(enriched.schema).parquet(path)
+
+
 @query(
     "stream_rejects",
     with_views("outcome")

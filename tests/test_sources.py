@@ -97,6 +97,15 @@ def test_route_drops_other_labels(spark, cfg, compact):
     assert numbers == [["0", "4"], ["1"]]
 
 
+def test_predictions_between_the_classes_go_nowhere(spark, cfg):
+    rows = payments(spark, [0, 1, 2, 3]).withColumn(
+        "is_fraud", F.expr("element_at(array(0D, 0.5D, 1D, double('NaN')), is_fraud + 1)")
+    )
+    write_by_class(rows, cfg, "predicted", "a", 0)
+    stored = {r["transaction_number"]: r["is_fraud"] for r in read_scored(spark, cfg).collect()}
+    assert stored == {"0": 0, "2": 1}
+
+
 def test_repeated_slice_leaves_one_copy(spark, cfg):
     write_by_class(payments(spark, [0, 1, 1]), cfg, "predicted", "a", 0)
     write_by_class(payments(spark, [0]), cfg, "predicted", "a", 1)

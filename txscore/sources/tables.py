@@ -98,8 +98,10 @@ def write_by_class(
     Each task writes a file per class. `compact` shuffles the rows by class first, into even
     pieces, so that the rare class does not end up in as many small files as there are tasks.
     """
-    label = F.col("is_fraud").cast("int")
-    rows = df.select(*SCORED.fieldNames(), label.alias("is_fraud")).filter(label.isin(*CLASSES))
+    label = F.col("is_fraud")
+    rows = df.filter(label.isin(*CLASSES)).select(
+        *SCORED.fieldNames(), label.cast("int").alias("is_fraud")
+    )
     if cfg.stores_files:
         if compact:
             rows = rows.hint("rebalance", "is_fraud")
