@@ -9,6 +9,7 @@ from txscore.operators.enrich import (
     accepted,
     broadcast_if_small,
     customer_side,
+    customers_for,
     enrich,
     enrich_broadcast,
     match_customers,
@@ -210,3 +211,26 @@ def test_latest_keeps_one_row_per_task_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2 and exchange < partial
     assert newest.filter("k = 'hot'").first()["id"] == 8_997
     assert newest.count() == 6_001
+
+
+def test_customers_of_a_batch_come_three_ways(spark):
+    side, rows = customers(spark, 5_000), payments(spark, 300, "cast(id % 70 as string)")
+    small_cards = measured_bytes(rows.select("card_number").distinct())
+    found = {}
+    with conf(spark, **NO_BROADCAST):
+        for way, limit in (("whole", 10**9), ("cut", small_cards), ("shuffled", 10)):
+            joined = enrich(rows, customers_for(rows, side, limit))
+            found[way] = (planned(joined), sorted(map(tuple, joined.collect())))
+    assert found["whole"][1] == found["cut"][1] == found["shuffled"][1]
+    assert len(found["whole"][1]) == 300
+    assert "SortMergeJoin" not in found["whole"][0]
+    assert "LeftSemi, BuildRight" in found["cut"][0]
+    assert "Broadcast" not in found["shuffled"][0]
+
+
+def test_hint_reaches_the_join_of_a_micro_batch(spark):
+    source, side = records(spark, payload()), customers(spark)
+    with conf(spark, **NO_BROADCAST):
+        payments_in = parse_payments(source)
+        plan = planned(match_customers(payments_in, customers_for(payments_in, side)))
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan

@@ -114,6 +114,17 @@ def test_failure_between_writes_is_made_good(spark, cfg, inbox):
     assert total == spark.read.parquet(inbox).count()
 
 
+@pytest.mark.parametrize("limit", [5_000, 10])
+def test_many_customers_give_the_same_outcome(spark, cfg, inbox, limit):
+    batch = spark.read.parquet(inbox)
+    score_batch(batch, 0, "few", cfg, large_is_fraud)
+    score_batch(batch, 0, "many", cfg, large_is_fraud, broadcast_limit=limit)
+    for table in (read_scored(spark, cfg), read_rejects(spark, cfg)):
+        few, many = (table.filter(F.col("run_id") == r).drop("run_id") for r in ("few", "many"))
+        assert few.count() == many.count() > 0
+        assert few.exceptAll(many).isEmpty()
+
+
 def test_new_checkpoint_does_not_overwrite_old_batches(spark, cfg, inbox):
     run(spark, cfg, watch(spark, inbox))
     once = read_scored(spark, cfg).count()

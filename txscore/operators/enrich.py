@@ -48,6 +48,24 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
+def customers_for(
+    payments: DataFrame, customers: DataFrame, limit: int = BROADCAST_LIMIT
+) -> DataFrame:
+    """The customers side of a join with a small set of payments, such as a micro-batch.
+
+    Few customers are broadcast whole. Otherwise the cards of the payments are, if they are few,
+    so that the customers are cut down where they are scanned instead of being shuffled for every
+    batch. If neither fits, both sides shuffle.
+    """
+    side = customer_side(customers)
+    if measured_bytes(side) <= limit:
+        return F.broadcast(side)
+    cards = payments.select("card_number").filter("card_number is not null").distinct()
+    if measured_bytes(cards) <= limit:
+        return side.join(F.broadcast(cards), "card_number", "left_semi")
+    return side
+
+
 def with_features(joined: DataFrame) -> DataFrame:
     """Distance from the customer's address and age on the day of the payment."""
     return joined.withColumns({

@@ -10,10 +10,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from txscore.operators.columns import rename_columns
-from txscore.operators.enrich import accepted, match_customers, parse_payments, rejected
+from txscore.operators.enrich import (
+    accepted,
+    customers_for,
+    match_customers,
+    parse_payments,
+    rejected,
+)
 from txscore.operators.forest import score
 from txscore.operators.offsets import max_offset_per_partition, start_position
 from txscore.schemas import BATCH_SLICES, CUSTOMER_TABLE, OFFSETS, REJECTS
+from txscore.session import BROADCAST_LIMIT
 from txscore.settings import Settings
 from txscore.sources.kafka import read_records
 from txscore.sources.models import load_models, newest_model_version
@@ -44,7 +51,12 @@ class ForestScorer:
 
 
 def score_batch(
-    records: DataFrame, batch_id: int, run_id: str, cfg: Settings, scorer: Scorer
+    records: DataFrame,
+    batch_id: int,
+    run_id: str,
+    cfg: Settings,
+    scorer: Scorer,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> None:
     """Score one micro-batch of (value, partition, offset) and store the outcome.
 
@@ -54,7 +66,9 @@ def score_batch(
     spark = records.sparkSession
     slices = {"run_id": run_id, "batch_id": batch_id}
     customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
-    matched = match_customers(parse_payments(records, cfg.source_zone), customers).persist()
+    payments = parse_payments(records, cfg.source_zone)
+    side = customers_for(payments, customers, broadcast_limit)
+    matched = match_customers(payments, side).persist()
     try:
         scored = rename_columns(scorer(accepted(matched)), {"prediction": "is_fraud"})
         write_by_class(scored, cfg, "predicted", run_id, batch_id, compact=True)
