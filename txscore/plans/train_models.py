@@ -17,7 +17,7 @@ from txscore.operators.splits import TRAIN_SHARE, hash_split, in_training, rando
 from txscore.schemas import MODEL_COLUMNS
 from txscore.settings import Settings
 from txscore.sources.models import save_models
-from txscore.sources.tables import append_table, read_scored
+from txscore.sources.tables import read_scored, replace_slice
 
 KEY = "transaction_number"
 NUMBERS = ["distance_from_customer_address", "amount", "age_at_transaction"]
@@ -152,6 +152,6 @@ def train_models(
     """Retrain on everything stored so far, save under the version, return the metrics row."""
     trained = train(training_rows(read_scored(spark, cfg), options), options)
     metrics = trained.metrics.select(F.lit(version).alias("version"), "*")
-    append_table(metrics, cfg, cfg.metric_table)
+    replace_slice(metrics, cfg, cfg.metric_table, {"version": version})
     save_models(spark, cfg, trained.preprocessor, trained.forest, version)
     return metrics

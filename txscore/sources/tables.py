@@ -73,7 +73,8 @@ def replace_slice(
         return
     folder = "".join(f"/{name}={value}" for name, value in slices.items())
     (
-        df.write.format(cfg.table_format)
+        df.drop(*slices)
+        .write.format(cfg.table_format)
         .mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .options(**cfg.table_options)
