@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from txscore.llm.neighbours import nearest
 from txscore.llm.registry import ORACLES, QUERIES, query, table
+from txscore.llm.topk import top_k
 from txscore.llm.url_rules import ALLOW, BLOCK, Rule, judge_urls
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -47,3 +50,31 @@ select page_id, host, path, rule, verdict from ranked where place = 1
 )
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op4_neighbours")
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query(
+    "op10_top_k",
+    """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as w
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+    cast(list_inner_product(cast(q.w as double[]), cast(c.w as double[])) as bigint) as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+ranked as (
+  select query_id, vec_id, score, cast(row_number() over (
+    partition by query_id order by score desc, vec_id) as int) as rank
+  from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+""",
+)
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
