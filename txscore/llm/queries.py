@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txscore.llm.neighbours import nearest
+from txscore.llm.packing import pack_documents
 from txscore.llm.registry import ORACLES, QUERIES, query, table
 from txscore.llm.topk import top_k
 from txscore.llm.url_rules import ALLOW, BLOCK, Rule, judge_urls
@@ -78,3 +80,8 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 )
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query("op1_best_fit_packing")
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
