@@ -77,15 +77,11 @@ class Lookup(Generic[V]):
         if len(known) + len(new) > self._limit:
             kept = {piece: known[piece] for piece in set(used) if piece in known}
             self._known = known = kept
-        ends, whole = {}, set(new)
+        ends = {}
         if self._cut_end is not None:
-            for piece in new:
-                at = self._cut_end(piece)
-                if 0 < at < len(piece):
-                    ends[piece] = at
-                    whole.discard(piece)
-                    if piece[:at] not in known:
-                        whole.add(piece[:at])
+            ends = {p: at for p in new if 0 < (at := self._cut_end(p)) < len(p)}
+        heads = {piece[:at] for piece, at in ends.items()}
+        whole = new.difference(ends) | heads.difference(known)
         ordered = list(whole)
         texts = [piece if piece.startswith("\n") else " " + piece for piece in ordered]
         known.update(zip(ordered, self._encode(texts), strict=True))

@@ -6,6 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txscore.llm.merge_pieces import encode_decode
 from txscore.llm.neighbours import nearest
 from txscore.llm.packing import pack_documents
 from txscore.llm.registry import ORACLES, QUERIES, query, table
@@ -85,3 +86,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_best_fit_packing")
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op8_merge_pieces")
+def op8_merge_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = encode_decode(
+        table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")
+    )
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias(
+            "ids_sha256"
+        ),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
