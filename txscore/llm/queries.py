@@ -10,6 +10,7 @@ from txscore.llm.merge_pieces import encode_decode
 from txscore.llm.neighbours import nearest
 from txscore.llm.packing import pack_documents
 from txscore.llm.registry import ORACLES, QUERIES, query, table
+from txscore.llm.simhash import as_hex, near_duplicates
 from txscore.llm.topk import top_k
 from txscore.llm.url_rules import ALLOW, BLOCK, Rule, judge_urls
 
@@ -101,3 +102,9 @@ def op8_merge_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op7_simhash_links")
+def op7_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=3)
+    return found.select("doc_id", as_hex(F.col("bits")).alias("fingerprint"), "component_id")
