@@ -13,6 +13,8 @@ from txscore.llm.registry import ORACLES, QUERIES, query, table
 from txscore.llm.simhash import as_hex, near_duplicates
 from txscore.llm.topk import top_k
 from txscore.llm.url_rules import ALLOW, BLOCK, Rule, judge_urls
+from txscore.llm.warc import assemble, field, read_archives, write_archives
+from txscore.session import new_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -108,3 +110,44 @@ def op8_merge_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_simhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=3)
     return found.select("doc_id", as_hex(F.col("bits")).alias("fingerprint"), "component_id")
+
+
+@query(
+    "op9_warc_captures",
+    """
+with p as (
+  select page_id, coalesce(html, '') as payload from pages),
+kept as (
+  select payload, max(page_id) as keeper from p where strlen(payload) >= 1000 group by payload)
+select p.page_id, strlen(p.payload) as payload_bytes, sha1(p.payload) as payload_digest,
+  case when keeper <> p.page_id then 'revisit' else 'response' end as record_type,
+  case when keeper <> p.page_id then keeper end as refers_to
+from p left join kept on p.payload = kept.payload
+""",
+)
+def op9_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    captures = assemble(read_archives(spark, folder), with_payload=False).select(
+        field(F.col("metadata.block"), "page_id").cast("long").alias("page_id"),
+        F.col("response.*"),
+        "copies",
+    ).checkpoint()
+    stored = captures.filter(F.col("record_type") == "response").select(
+        F.col("record_id").alias("stored_id"),
+        F.col("page_id").alias("stored_page"),
+        F.col("payload_bytes").alias("stored_bytes"),
+        F.col("payload_digest").alias("stored_digest"),
+    )
+    revisit = F.col("record_type") == "revisit"
+    return (
+        captures.join(stored, F.col("refers_to") == F.col("stored_id"), "left")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        .select(
+            "page_id",
+            F.when(revisit, F.col("stored_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+            F.when(revisit, F.col("stored_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+            "record_type",
+            F.col("stored_page").alias("refers_to"),
+        )
+    )
