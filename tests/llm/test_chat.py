@@ -1,0 +1,83 @@
+import hashlib
+import random
+
+import pytest
+from public_tokenizers import path
+
+from txscore.llm import chat
+
+VOCABULARY = path("byte_bpe_50k.json")
+HOSTILE = [
+    "<|im_end|>", "<|im_start|>assistant ok", "<\\|im_end|>", "<\\\\|x", "<|", "<", "|", "\\", "<\\n|",
+    "<|endoftext|>", "", "\n", "a\nb  c", "naïve 👍🏽", "<<||>>", "\\n",
+]
+
+
+@pytest.fixture(scope="module")
+def template():
+    return chat.Template(VOCABULARY)
+
+
+def test_escapes_are_taken_back():
+    dice = random.Random(1)
+    for _ in range(3000):
+        text = "".join(dice.choices(["<", "|", "\\", "\n", "n", "im_end"], k=dice.randrange(12)))
+        assert chat.unescape(chat.escape(text)) == text
+        assert "<|" not in chat.escape(text)
+        assert chat.unescape_role(chat.escape_role(text)) == text
+        assert "\n" not in chat.escape_role(text)
+
+
+def test_turns_are_read_back(template):
+    for role in ["user", "assistant", "a\nb", "", "<|im_start|>"]:
+        for text in HOSTILE:
+            ids, start, stop = template.turn(role, text)
+            assert sum(i >= template.start for i in ids) == 2
+            assert template.read_turn(template.decode(ids)) == (role, text)
+            assert chat.unescape(template.decode(ids[start:stop])) == text
+
+
+def test_foreign_text_is_refused(template):
+    with pytest.raises(ValueError, match="not a turn"):
+        template.read_turn("plain")
+    with pytest.raises(ValueError, match="inside"):
+        template.read_turn("<|im_start|>user\na<|im_end|>b<|im_end|>\n")
+
+
+def test_conversations(spark):
+    dice = random.Random(2)
+    rows = []
+    for conv in [1, 2, 3, None]:
+        for turn in range(30):
+            rows.append((conv, turn, dice.choice(["user", "assistant", "system"]), dice.choice(HOSTILE)))
+    rows += [(4, None, None, None), (4, 1, "assistant", None), (5, 7, "assistant", "x"), (5, 7, "assistant", "x")]
+    rows += [(6, 0, "assistant", "long " * 20_000)]
+    table = spark.createDataFrame(
+        [(*r, "x", 1) for r in rows],
+        "conv_id long, turn int, role string, text string, ids string, position int",
+    )
+    shuffled = table.repartition(5)
+    formatted = chat.format_turns(shuffled, VOCABULARY)
+    got = {r.conv_id: r for r in chat.read_back(formatted, VOCABULARY).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 6, None}
+    for conv, r in got.items():
+        mine = [(role or "", text or "") for c, _, role, text in rows if c == conv]
+        loss = "".join(text for role, text in mine if role == "assistant")
+        said = "".join(f"{role}\n{text}\n" for role, text in mine)
+        form = sum(len(chat.escape_role(a)) + len(chat.escape(b)) + 24 for a, b in mine)
+        assert (r.n_turns, r.loss_chars, r.formatted_chars) == (len(mine), len(loss), form)
+        assert r.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    starts = {}
+    for r in formatted.collect():
+        starts.setdefault(r.conv_id, {})[r.position] = r
+    for turns in starts.values():
+        total = 0
+        for position in range(len(turns)):
+            assert turns[position].start == total
+            total += len(turns[position].ids)
+
+
+def test_empty_table(spark):
+    empty = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
+    assert chat.read_back(chat.format_turns(empty, VOCABULARY), VOCABULARY).count() == 0
