@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txscore.llm import toxicity
 from txscore.llm.chat import format_turns, read_back
 from txscore.llm.merge_pieces import encode_decode
 from txscore.llm.neighbours import nearest
@@ -183,3 +184,23 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     path = tokenizer_path("byte_bpe_50k.json")
     return read_back(format_turns(turns.unionByName(hostile), path), path)
+
+
+def held_out(doc_id: Column) -> Column:
+    """A third of all rows, never used for fitting."""
+    return F.crc32(doc_id.cast("string")) % 3 == 1
+
+
+@query("op5_toxic_spans")
+def op5_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, doc_id = table(spark, sf_dir, "documents"), F.col("doc_id")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out(doc_id))
+    return toxicity.score_documents(docs, chain).select(
+        "doc_id",
+        held_out(doc_id).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.array_join(
+            F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ","
+        ).alias("spans"),
+    )
