@@ -3,8 +3,8 @@
 A text is cut before each single space or line feed that stands between two characters that are
 not white space. A tokenizer for which such places are always token boundaries gives for the
 pieces, one after the other, what it gives for the text. A text that has other white space there
-is cut at the safe places only. The table of known pieces is bounded: when it is full, what
-the last texts used stays.
+is cut at the safe places only. The table of known pieces is bounded: when it is full, it becomes
+the old one, from which pieces come back as they are met again, and the one before is dropped.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from typing import Generic, TypeVar
 
 V = TypeVar("V")
 
-# pieces that one process remembers
-KNOWN = 300_000
+# pieces in the present table of a process, and at most as many in the old one
+KNOWN = 400_000
 # longer pieces are rare and are not remembered
 LONG = 64
 # characters of a very long text that are cut at once
@@ -49,6 +49,7 @@ class Lookup(Generic[V]):
     ) -> None:
         self._encode, self._join, self._cut_end, self._limit = encode, join, cut_end, known
         self._known: dict[str, V] = {}
+        self._old: dict[str, V] = {}
 
     def __call__(self, text: str) -> list[V]:
         """Values of the pieces of a text or of a part of it, in order."""
@@ -60,31 +61,32 @@ class Lookup(Generic[V]):
             # the part begins with its space or line feed, which is safe at the start of a part
             head, *rest = rest
             head = head if head.startswith("\n") else " " + head
-        new = set(rest).difference(self._known)
+        if len(self._known) > self._limit:
+            self._old, self._known = self._known, {}
+        known = self._known
+        new = set(rest).difference(known)
         if any(piece == "" or piece[-1].isspace() for piece in new) or head[-1:].isspace():
             return self._encode(_SAFE.split(text))
         if new:
-            self._learn(new, rest)
+            self._learn(new)
         values = self._encode([head])
-        known = self._known
         values += [known[piece] for piece in rest]
         for piece in [piece for piece in new if len(piece) > LONG]:
             del known[piece]
         return values
 
-    def _learn(self, new: set[str], used: list[str]) -> None:
-        known = self._known
-        if len(known) + len(new) > self._limit:
-            kept = {piece: known[piece] for piece in set(used) if piece in known}
-            self._known = known = kept
+    def _learn(self, new: set[str]) -> None:
+        known, old = self._known, self._old
+        met = [piece for piece in new if piece in old]
+        known.update((piece, old[piece]) for piece in met)
+        new = new.difference(met)
         ends = {}
         if self._cut_end is not None:
             ends = {p: at for p in new if 0 < (at := self._cut_end(p)) < len(p)}
         heads = {piece[:at] for piece, at in ends.items()}
-        whole = new.difference(ends) | heads.difference(known)
-        ordered = list(whole)
-        texts = [piece if piece.startswith("\n") else " " + piece for piece in ordered]
-        known.update(zip(ordered, self._encode(texts), strict=True))
+        whole = list(new.difference(ends) | heads.difference(known))
+        texts = [piece if piece.startswith("\n") else " " + piece for piece in whole]
+        known.update(zip(whole, self._encode(texts), strict=True))
         if ends:
             tails = list({piece[at:] for piece, at in ends.items()})
             tail_values = dict(zip(tails, self._encode(tails), strict=True))
