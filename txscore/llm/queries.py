@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import toxicity
+from txscore.llm import secrets, toxicity
 from txscore.llm.chat import format_turns, read_back
 from txscore.llm.merge_pieces import encode_decode
 from txscore.llm.neighbours import nearest
@@ -204,3 +204,30 @@ def op5_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ","
         ).alias("spans"),
     )
+
+
+def _joined(found: Column) -> Column:
+    return F.array_join(
+        F.transform(found, lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ","
+    )
+
+
+@query("op6_secret_scan")
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+    spans = F.col("findings")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda f: f["kind"] != "model")
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(spans).alias("spans"),
+        count("model"),
+    )
