@@ -206,3 +206,28 @@ def near_duplicates(
 def as_hex(bits: Column) -> Column:
     """16 lower-case digits."""
     return F.lower(F.lpad(F.hex(bits), 16, "0"))
+
+
+def one_of_each(
+    docs: DataFrame, words: int = 3, *, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The documents, all columns: of each component the row with the least id.
+
+    A row with a null id stands behind all others and is known by its text. Of rows with the same
+    id one stays. `docs` has whole numbers below 2**62 as ids.
+    """
+    behind = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce(text_column, F.lit(""))), F.lit(1 << 61))
+    name = "dedup_row_id"
+    rows = docs.withColumn(name, F.coalesce(F.col(id_column).cast("long"), behind))
+    found = near_duplicates(rows, words, id_column=name, text_column=text_column)
+    ids = (
+        found.groupBy(name)
+        .agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+        .filter((F.col(name) != F.col("component_id")) | (F.col("n") > 1))
+        .checkpoint()
+    )
+    # most documents are neither a copy nor repeated and are only looked up
+    alone = rows.join(ids, name, "left_anti")
+    repeated = ids.filter(F.col(name) == F.col("component_id"))
+    once = rows.join(repeated, name, "left_semi").dropDuplicates([name])
+    return alone.unionByName(once).drop(name)

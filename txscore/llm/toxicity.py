@@ -376,3 +376,21 @@ def score_documents(
                 })
 
     return rows.mapInPandas(score, layout)
+
+
+def drop_toxic(
+    docs: DataFrame, chain: Chain, threshold: float = 0.7, *, text_column: str = "text"
+) -> DataFrame:
+    """The documents, all columns, whose score is below the threshold."""
+    sent = docs.sparkSession.sparkContext.broadcast(chain)
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = sent.value
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part = batch.iloc[at : at + 512]
+                model.forget()
+                codes = [model.codes(text or "") for text in part[text_column]]
+                yield part[model.score(model.read(codes)) < threshold]
+
+    return docs.mapInPandas(keep, docs.schema)
