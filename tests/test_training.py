@@ -1,6 +1,6 @@
 import pytest
 from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from txscore.operators import balance, features
@@ -72,9 +72,9 @@ def test_unseen_and_null_set_no_slot(spark, history):
         assert row["v"][:3] == [0.0, 0.0, 0.0] and sum(row["v"][3:10]) == 1.0
 
 
-def test_wide_column_is_hashed_not_cut(history):
+def test_columns_are_hashed_where_asked(history):
     model = features.fit_preprocessor(
-        history.select(*MODEL_COLUMNS), leave_out=(), max_labels=20, hash_slots=1 << 12
+        history.select(*MODEL_COLUMNS), leave_out=(), hash_columns=("card_number",), hash_slots=1 << 12
     )
     assert model.stages[-1].getInputCols()[-1] == features.HASHED
     vectors = model.transform(history).select(vector_to_array("features").alias("v"))
@@ -84,6 +84,14 @@ def test_wide_column_is_hashed_not_cut(history):
     assert cards.distinct().count() == 40
 
 
+@pytest.mark.parametrize("labels", [2_000, 2_001, 30_000])
+def test_stages_do_not_depend_on_the_number_of_labels(spark, labels):
+    rows = spark.range(labels).selectExpr("string(id) as s", "double(id) as x")
+    stages = features.feature_stages(rows)
+    assert [type(stage).__name__ for stage in stages] == ["StringIndexer", "OneHotEncoder", "VectorAssembler"]
+    assert features.fit_preprocessor(rows).transform(rows).first()["features"].size == labels + 1
+
+
 def test_usable_rows(spark):
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),)], "x double")
     assert df.filter(features.usable(["x"])).count() == 1
@@ -121,7 +129,7 @@ def vectors(history):
 
 def test_centres_stand_for_all_rows(vectors):
     majority = vectors.filter("label = 0")
-    centers = balance.cluster_centers(majority, 500, max_clusters=8)
+    centers = balance.cluster_centers(majority, 8)
     assert centers.count() == 8
     assert centers.agg(F.sum("n")).first()[0] == majority.count()
     minority = vectors.filter("label = 1")
@@ -135,8 +143,10 @@ def test_centres_stand_for_all_rows(vectors):
 def test_as_many_centres_as_positives_weigh_one(vectors):
     centers = balance.cluster_centers(vectors.filter("label = 0"), 12)
     few = vectors.filter("label = 1").limit(12)
-    both = balance.clustered(few, centers, 12)
+    both = balance.clustered(few, centers, 12, balance.AS_ONE)
     assert both.count() == 24
+    with pytest.raises(ValueError, match="weight of centres"):
+        balance.clustered(few, centers, 12, "none")
     assert [r["weight"] for r in both.select("weight").distinct().collect()] == [1.0]
 
 
@@ -151,7 +161,7 @@ def test_fractions_of_centres_count(spark):
     model = features.fit_preprocessor(spark.createDataFrame([("a",), ("b",)], "s string"))
     ones = model.transform(spark.createDataFrame([("a",)] * 40, "s string"))
     centers = spark.createDataFrame([(1, [0.4, 0.6])] * 40, "n long, center array<double>")
-    centers = centers.select("n", balance.array_to_vector("center").alias("features"))
+    centers = centers.select("n", array_to_vector("center").alias("features"))
     both = balance.clustered(ones, centers, 40)
     forest = fit_forest(both, weight="weight")
     assert confusion_counts(forest.transform(both)).filter("label <> prediction").count() == 0
@@ -195,7 +205,7 @@ def test_random_split_repeats(history):
     [
         TrainingOptions(trees=5),
         TrainingOptions(method="undersample", trees=5),
-        TrainingOptions(method="kmeans", trees=5, max_clusters=20, kmeans_iterations=5),
+        TrainingOptions(method="kmeans", trees=5, clusters=20, kmeans_iterations=5),
     ],
     ids=lambda o: o.method,
 )
@@ -212,7 +222,7 @@ def test_training_finds_fraud(history, options):
 def test_clustered_mode_measures_balanced_rows(history):
     from dataclasses import replace
 
-    options = replace(CLUSTERED, trees=5, max_clusters=20, kmeans_iterations=3)
+    options = replace(CLUSTERED, trees=5, clusters=20, kmeans_iterations=3)
     small = history.select("transaction_number", *MODEL_COLUMNS, "label")
     row = train(small, options).metrics.first()
     positives = history.filter("label = 1").count()
@@ -220,6 +230,21 @@ def test_clustered_mode_measures_balanced_rows(history):
     assert 0 < row["n_test"] < positives + 20
 
 
+def test_training_rows_are_bounded_and_weigh_the_same(history):
+    sizes = balance.class_sizes(history)
+    used, expected = balance.bounded(history, sizes, "transaction_number", sizes[1] + 500)
+    assert expected == {0: 500, 1: sizes[1]}
+    found = balance.class_sizes(used)
+    assert found[1] == sizes[1] and abs(found[0] - 500) < 6 * 500**0.5
+    assert balance.bounded(history, sizes, "transaction_number", 10**9)[1] == sizes
+    small = history.select("transaction_number", *MODEL_COLUMNS, "label")
+    bound = TrainingOptions(trees=5, max_training_rows=sizes[1] + 500)
+    row = train(small, bound).metrics.first()
+    whole = train(small, TrainingOptions(trees=5)).metrics.first()
+    assert (row["n_rows"], row["n_test"]) == (whole["n_rows"], whole["n_test"])
+    assert row["true_positives"] > 0.8 * (row["true_positives"] + row["false_negatives"])
+
+
 def test_rows_with_missing_numbers_are_counted(history):
     broken = history.select("transaction_number", *MODEL_COLUMNS, "label").withColumn(
         "amount", F.when(F.col("transaction_number") != "n3", F.col("amount"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from txscore.operators.features import FEATURES, without_slot_names
 
 WEIGHT = "weight"
-# k-means compares every row with every centre, and the centres are held by the driver
-MAX_CLUSTERS = 1_000
 KMEANS_ITERATIONS = 30
+# how a centre weighs: by the rows it stands for, or as one row
+BY_ROWS, AS_ONE = "rows", "one"
 _UNIT_BITS = 53
 
 
@@ -47,6 +47,27 @@ def _share_kept(sizes: dict[int, int]) -> Column:
     return F.when(F.col("label") == 1, smaller / sizes[1]).otherwise(smaller / sizes[0])
 
 
+def _unit(key: str, seed: int) -> Column:
+    """A number from 0 up to 1 that only depends on the key and the seed."""
+    bits = F.xxhash64(F.col(key), F.lit(seed)).bitwiseAND((1 << _UNIT_BITS) - 1)
+    return bits / float(1 << _UNIT_BITS)
+
+
+def bounded(
+    df: DataFrame, sizes: dict[int, int], key: str, max_rows: int, seed: int = 42
+) -> tuple[DataFrame, dict[int, int]]:
+    """At most about `max_rows` rows, chosen by a hash of the key, and their expected class sizes.
+
+    Class 1 comes first and is thinned only if it alone is larger.
+    """
+    ones = min(sizes[1], max_rows)
+    zeros = min(sizes[0], max(1, max_rows - ones))
+    if (zeros, ones) == (sizes[0], sizes[1]):
+        return df, sizes
+    share = F.when(F.col("label") == 1, ones / sizes[1]).otherwise(zeros / sizes[0])
+    return df.filter(_unit(key, seed + 1) < share), {0: zeros, 1: ones}
+
+
 def weighted(df: DataFrame, sizes: dict[int, int]) -> DataFrame:
     """Keep all rows and weight the larger class down."""
     return df.withColumn(WEIGHT, _share_kept(sizes))
@@ -54,34 +75,22 @@ def weighted(df: DataFrame, sizes: dict[int, int]) -> DataFrame:
 
 def undersampled(df: DataFrame, sizes: dict[int, int], key: str, seed: int = 42) -> DataFrame:
     """Keep the smaller class and a share of the larger one, chosen by a hash of the key."""
-    unit = F.xxhash64(F.col(key), F.lit(seed)).bitwiseAND((1 << _UNIT_BITS) - 1) / float(
-        1 << _UNIT_BITS
-    )
-    return df.filter(unit < _share_kept(sizes))
+    return df.filter(_unit(key, seed) < _share_kept(sizes))
 
 
 def cluster_centers(
-    features: DataFrame,
-    k: int,
-    max_iter: int = KMEANS_ITERATIONS,
-    seed: int = 42,
-    max_clusters: int = MAX_CLUSTERS,
+    features: DataFrame, k: int, max_iter: int = KMEANS_ITERATIONS, seed: int = 42
 ) -> DataFrame:
-    """(cluster, n, features): centres of the given rows and how many rows each stands for.
+    """(cluster, n, features): the mean of the rows nearest each centre, and how many they are.
 
-    There can be fewer than k, when fewer distinct rows exist. At most `max_clusters` rows pass
-    through the driver.
+    There can be fewer than k, when fewer distinct rows exist. k-means compares every row with
+    every centre in each round and keeps k vectors on the driver meanwhile; the means are taken
+    where the rows are.
     """
-    spark = features.sparkSession
-    model = KMeans(k=max(2, min(k, max_clusters)), maxIter=max_iter, seed=seed).fit(
+    model = KMeans(k=max(2, k), maxIter=max_iter, seed=seed, predictionCol="cluster").fit(
         features.select(FEATURES)
     )
-    rows = [
-        (i, int(size), [float(x) for x in center])
-        for i, (center, size) in enumerate(zip(model.clusterCenters(), model.summary.clusterSizes))
-    ]
-    centers = spark.createDataFrame(rows, "cluster int, n long, center array<double>")
-    return centers.select("cluster", "n", array_to_vector("center").alias(FEATURES))
+    return cluster_means(model.transform(features.select(FEATURES)), "cluster")
 
 
 def cluster_means(df: DataFrame, cluster: str, features: str = FEATURES) -> DataFrame:
@@ -91,17 +100,21 @@ def cluster_means(df: DataFrame, cluster: str, features: str = FEATURES) -> Data
     )
 
 
-def clustered(minority: DataFrame, centers: DataFrame, minority_size: int) -> DataFrame:
+def clustered(
+    minority: DataFrame, centers: DataFrame, minority_size: int, weigh: str = BY_ROWS
+) -> DataFrame:
     """(features, label, weight): all rows of class 1, and centres in place of class 0.
 
-    With one centre per row of class 1 every weight is 1. With fewer centres each weighs by the
-    rows it stands for, so that both classes still have the same total.
+    `rows`: a centre weighs by the rows it stands for, so that both classes have the same total.
+    `one`: every row and every centre weighs 1.
     """
-    totals = Window.partitionBy()
-    enough = F.count(F.lit(1)).over(totals) >= minority_size
-    by_size = F.col("n") * F.lit(float(minority_size)) / F.sum("n").over(totals)
+    if weigh not in (BY_ROWS, AS_ONE):
+        raise ValueError(f"unknown weight of centres: {weigh}")
+    by_size = F.col("n") * F.lit(float(minority_size)) / F.sum("n").over(Window.partitionBy())
     majority = centers.select(
-        FEATURES, F.lit(0).alias("label"), F.when(enough, 1.0).otherwise(by_size).alias(WEIGHT)
+        FEATURES,
+        F.lit(0).alias("label"),
+        (by_size if weigh == BY_ROWS else F.lit(1.0)).alias(WEIGHT),
     )
     positives = minority.select(FEATURES, F.lit(1).alias("label"), F.lit(1.0).alias(WEIGHT))
     return without_slot_names(positives).unionByName(without_slot_names(majority))

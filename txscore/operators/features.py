@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
@@ -16,9 +16,7 @@ FEATURES = "features"
 HASHED = "hashed_labels"
 # a card says who paid, not how; one slot per card also grows with the data
 LEAVE_OUT = ("card_number",)
-# labels of a column are held by the driver and by every task that encodes, and a forest keeps
-# four bytes per slot for every training row
-MAX_LABELS = 2_000
+# slots shared by the columns that a caller asks to hash
 HASH_SLOTS = 1 << 11
 
 
@@ -38,30 +36,22 @@ def usable(columns: Sequence[str]) -> Column:
     return ok
 
 
-def distinct_counts(columns: Sequence[str]) -> list[Column]:
-    """Aggregates that estimate the distinct values of columns, named like the columns."""
-    return [F.approx_count_distinct(c).alias(c) for c in columns]
-
-
 def feature_stages(
     df: DataFrame,
     label_col: str = "",
     leave_out: Sequence[str] = LEAVE_OUT,
-    max_labels: int = MAX_LABELS,
+    hash_columns: Sequence[str] = (),
     hash_slots: int = HASH_SLOTS,
-    distinct: Mapping[str, int] | None = None,
 ) -> list:
-    """Stages by column type, in the order of the columns.
+    """Stages by column type, in the order of the columns, whatever the data hold.
 
     Strings are indexed by frequency and one-hot encoded; a value that was not there at fit
-    time, or null, sets no slot. A string column with more than `max_labels` values is hashed
-    into a fixed number of slots, as its label list would not fit the driver. Every other
-    column passes through. `distinct` saves a pass if the distinct values are counted already.
+    time, or null, sets no slot. The labels of such a column pass through the driver, and a forest
+    keeps four bytes per slot for every training row, so a caller may name `hash_columns`, which
+    share `hash_slots` slots behind all others instead. Every other column passes through.
     """
     strings = string_columns(df, label_col, leave_out)
-    if distinct is None:
-        distinct = df.agg(*distinct_counts(strings)).first().asDict() if strings else {}
-    hashed = [c for c in strings if distinct[c] > max_labels]
+    hashed = [c for c in strings if c in hash_columns]
     encoded = [c for c in strings if c not in hashed]
     stages: list = []
     if encoded:
@@ -86,11 +76,10 @@ def fit_preprocessor(
     df: DataFrame,
     label_col: str = "",
     leave_out: Sequence[str] = LEAVE_OUT,
-    max_labels: int = MAX_LABELS,
+    hash_columns: Sequence[str] = (),
     hash_slots: int = HASH_SLOTS,
-    distinct: Mapping[str, int] | None = None,
 ) -> PipelineModel:
-    stages = feature_stages(df, label_col, leave_out, max_labels, hash_slots, distinct)
+    stages = feature_stages(df, label_col, leave_out, hash_columns, hash_slots)
     return Pipeline(stages=stages).fit(df)
 
 

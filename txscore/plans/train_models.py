@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from txscore.operators import balance, features
 from txscore.operators.evaluate import quality
 from txscore.operators.forest import DEPTH, MAX_BINS, TREES, fit_forest
-from txscore.operators.splits import TRAIN_SHARE, hash_split, in_training, random_split
+from txscore.operators.splits import TRAIN_SHARE, in_training, random_split
 from txscore.schemas import MODEL_COLUMNS
 from txscore.settings import Settings
 from txscore.sources.models import save_models
@@ -31,10 +31,16 @@ class TrainingOptions:
     leave_out: tuple[str, ...] = features.LEAVE_OUT
     label_sources: tuple[str, ...] = ("loaded", "predicted")
     train_share: float = TRAIN_SHARE
-    max_labels: int = features.MAX_LABELS
+    # string columns that share a fixed number of slots instead of one slot per value
+    hash_columns: tuple[str, ...] = ()
     hash_slots: int = features.HASH_SLOTS
-    max_clusters: int = balance.MAX_CLUSTERS
+    # centres in place of class 0; None: as many as there are rows of class 1
+    clusters: int | None = None
+    centre_weights: str = balance.BY_ROWS
     kmeans_iterations: int = balance.KMEANS_ITERATIONS
+    # rows the balancing and the forest see: all of class 1 first, then a hash-chosen part of
+    # class 0. Counts, features and the held-out measure cover all rows.
+    max_training_rows: int = 5_000_000
     max_bins: int = MAX_BINS
     trees: int = TREES
     depth: int = DEPTH
@@ -43,7 +49,7 @@ class TrainingOptions:
 
 # every string column encoded, cluster centres as class 0, quality measured on balanced rows
 CLUSTERED = TrainingOptions(
-    method="kmeans", evaluate_on="balanced", leave_out=(), max_labels=20_000
+    method="kmeans", evaluate_on="balanced", leave_out=(), centre_weights=balance.AS_ONE
 )
 
 
@@ -72,12 +78,13 @@ def balanced_rows(
     if options.method == "kmeans":
         centers = balance.cluster_centers(
             vectors.filter("label = 0"),
-            sizes[1],
+            sizes[1] if options.clusters is None else options.clusters,
             options.kmeans_iterations,
             options.seed,
-            options.max_clusters,
         )
-        return balance.clustered(vectors.filter("label = 1"), centers, sizes[1]), balance.WEIGHT
+        minority = vectors.filter("label = 1")
+        rows = balance.clustered(minority, centers, sizes[1], options.centre_weights)
+        return rows, balance.WEIGHT
     raise ValueError(f"unknown balance method: {options.method}")
 
 
@@ -90,33 +97,36 @@ def train(rows: DataFrame, options: TrainingOptions = TrainingOptions()) -> Trai
     usable = features.usable(NUMBERS)
     holds_out = options.evaluate_on == "holdout"
     trains = in_training(F.col(KEY), options.train_share) if holds_out else F.lit(True)
-    strings = features.string_columns(rows.select(*MODEL_COLUMNS), leave_out=options.leave_out)
-    # seven narrow columns that every step below reads again
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    good = rows.filter(usable)
+    # all that has to be known before fitting, in one pass
+    known = rows.agg(
+        F.count_if(usable).alias("n_rows"),
+        F.count_if(~usable).alias("n_unusable"),
+        *[F.count_if(usable & trains & (F.col("label") == c)).alias(f"n_{c}") for c in (0, 1)],
+    ).first()
+    sizes = balance.both_present({c: known[f"n_{c}"] for c in (0, 1)})
+    preprocessor = features.fit_preprocessor(
+        good.select(*MODEL_COLUMNS),
+        leave_out=options.leave_out,
+        hash_columns=options.hash_columns,
+        hash_slots=options.hash_slots,
+    )
+    used, used_sizes = balance.bounded(
+        good.filter(trains), sizes, KEY, options.max_training_rows, options.seed
+    )
+    # only what is trained on is kept, and that is bounded
+    vectors = (
+        preprocessor.transform(used)
+        .select(KEY, features.FEATURES, "label")
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
-        good = rows.filter(usable)
-        # all that has to be known before fitting, in one pass
-        known = rows.agg(
-            F.count_if(usable).alias("n_rows"),
-            F.count_if(~usable).alias("n_unusable"),
-            *[F.count_if(usable & trains & (F.col("label") == c)).alias(f"n_{c}") for c in (0, 1)],
-            *features.distinct_counts(strings),
-        ).first()
-        sizes = balance.both_present({c: known[f"n_{c}"] for c in (0, 1)})
-        preprocessor = features.fit_preprocessor(
-            good.select(*MODEL_COLUMNS),
-            leave_out=options.leave_out,
-            max_labels=options.max_labels,
-            hash_slots=options.hash_slots,
-            distinct={c: known[c] for c in strings},
-        )
-        vectors = preprocessor.transform(good).select(KEY, features.FEATURES, "label")
+        chosen, weight = balanced_rows(vectors, used_sizes, options)
         if holds_out:
-            train_part, test = hash_split(vectors, KEY, options.train_share)
-            chosen, weight = balanced_rows(train_part, sizes, options)
+            held_out = preprocessor.transform(good.filter(~trains))
+            test = held_out.select(KEY, features.FEATURES, "label")
         else:
-            everything, weight = balanced_rows(vectors, sizes, options)
-            chosen, test = random_split(everything, options.train_share, options.seed)
+            chosen, test = random_split(chosen, options.train_share, options.seed)
         forest = fit_forest(
             chosen,
             weight=weight,
@@ -127,7 +137,7 @@ def train(rows: DataFrame, options: TrainingOptions = TrainingOptions()) -> Trai
         )
         measured = quality(forest.transform(test)).first()
     finally:
-        rows.unpersist()
+        vectors.unpersist()
     metrics = spark.createDataFrame(
         [{
             "method": options.method,
