@@ -17,6 +17,7 @@ from txscore.plans.load_history import load_history
 from txscore.plans.train_models import CLUSTERED, KEY, NUMBERS, TrainingOptions, train, train_models
 from txscore.schemas import MODEL_COLUMNS
 from txscore.sources.models import load_models, save_models
+from txscore.streaming.scoring import score_batch
 
 STRINGS = ["category", "merchant_name"]
 
@@ -437,3 +438,25 @@ def retrain_job(spark, sf_dir):
         .unionByName(days[1])
         .select("version", "n_rows", "n_unusable", "n_test", _beats_guessing())
     )
+
+
+@query(
+    "retrain_after_replay",
+    with_views("outcome", "history")
+    + """select count(distinct transaction_number) as n_rows, cast(0 as bigint) as n_unusable
+from (select transaction_number from history
+      union all select transaction_number from outcome where reject_reason is null)""",
+)
+def retrain_after_replay(spark, sf_dir):
+    """A load, the same records scored by two streams, then a training: each payment counts once."""
+    cfg = history_settings(spark, sf_dir)
+    load_history(spark, cfg, "first", F.to_date(F.lit(AS_OF)))
+    records = view(spark, sf_dir, "payments_json")
+
+    def by_amount(payments):
+        return payments.withColumn("prediction", (F.col("amount") >= 100).cast("double"))
+
+    for run_id in ("one", "two"):
+        score_batch(records, 0, run_id, cfg, by_amount)
+    metrics = train_models(spark, cfg, "day-1", TrainingOptions(trees=3))
+    return metrics.select("n_rows", "n_unusable")

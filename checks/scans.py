@@ -21,7 +21,13 @@ from txscore.schemas import CUSTOMER_CSV, CUSTOMER_TABLE, TRANSACTION_CSV
 from txscore.functions import zone_text
 from txscore.sources.csv import read_csv, read_replay_csv
 from txscore.sources.kafka import project_records
-from txscore.sources.tables import append_table, read_scored, read_snapshot, read_table
+from txscore.sources.tables import (
+    append_table,
+    current_scored,
+    read_scored,
+    read_snapshot,
+    read_table,
+)
 from txscore.streaming.scoring import stored_offsets
 
 AS_OF = "2024-01-01"
@@ -71,18 +77,101 @@ def load_history(spark, sf_dir):
     return read_scored(spark, cfg).drop("run_id", "batch_id")
 
 
-@query(
-    "load_rejects",
-    with_views("cleaned", "customers")
-    + "select t.*, 'unknown_card' as reject_reason from cleaned t"
-    " where not exists (select 1 from customers c where c.card_number = t.card_number)",
+# every kind of broken history row, by the number of the payment
+_BREAKS = {"transaction_date": 53, "amount": 59, "merchant_latitude": 61, "is_fraud": 67, "card_number": 71}
+
+
+def broken_settings(spark, sf_dir):
+    """Like `history_settings`, with rows of the transactions broken."""
+    cfg = scratch_settings(spark)
+    view(spark, sf_dir, "customers").write.option("header", True).csv(cfg.customer_csv)
+    rows = view(spark, sf_dir, "transactions_raw")
+    number = F.col("transaction_number").cast("long")
+    wrong = {"transaction_date": None, "amount": "x", "merchant_latitude": "nan?", "is_fraud": None, "card_number": None}
+    rows = rows.withColumns({
+        c: F.when(number % n == 0, F.lit(wrong[c])).otherwise(F.col(c).cast("string"))
+        for c, n in _BREAKS.items()
+    })
+    rows.write.option("header", True).csv(cfg.transaction_csv)
+    return cfg
+
+
+def _unless_broken(column: str) -> str:
+    return f"case when cast(t.transaction_number as bigint) % {_BREAKS[column]} <> 0 then t.{column} end"
+
+
+_OUTCOMES = (
+    with_views("transactions_raw", "cleaned", "customers")
+    + f""", broken as (
+  select {_unless_broken('card_number')} as card_number, t.transaction_number,
+    case when cast(t.transaction_number as bigint) % {_BREAKS['transaction_date']} <> 0
+      then t.transaction_time end as transaction_time,
+    t.category, t.merchant_name, {_unless_broken('amount')} as amount,
+    {_unless_broken('merchant_latitude')} as merchant_latitude, t.merchant_longitude,
+    {_unless_broken('is_fraud')} as is_fraud
+  from cleaned t),
+outcomes as (
+  select t.*, case when t.card_number is null then 'missing_card'
+    when t.transaction_time is null then 'bad_time' when t.amount is null then 'bad_amount'
+    when t.merchant_latitude is null then 'bad_location'
+    when not exists (select 1 from customers c where c.card_number = t.card_number) then 'unknown_card'
+    when t.is_fraud is null then 'no_label' end as reject_reason
+  from broken t)
+"""
 )
+
+
+@query("load_rejects", _OUTCOMES + "select * from outcomes where reject_reason is not null")
 def load_rejects(spark, sf_dir):
-    cfg = history_settings(spark, sf_dir)
+    cfg = broken_settings(spark, sf_dir)
     load.load_customers(spark, cfg, "first", F.to_date(F.lit(AS_OF)))
     return load.history_rejects(spark, cfg)
 
 
+@query(
+    "load_report",
+    _OUTCOMES
+    + "select coalesce(reject_reason, 'stored') as outcome, count(*) as n from outcomes group by all",
+)
+def load_report(spark, sf_dir):
+    """What the load says of its input: stored or rejected, and why."""
+    cfg = broken_settings(spark, sf_dir)
+    report = load.load_history(spark, cfg, "first", F.to_date(F.lit(AS_OF)))
+    rows = [(name, n) for name, n in report.items() if n]
+    return spark.createDataFrame(rows, "outcome string, n long")
+
+
+@query(
+    "load_twice_two_ids",
+    with_views("history") + f"select {SCORED_SQL}, is_fraud, 'second/2' as run_id from history",
+)
+def load_twice_two_ids(spark, sf_dir):
+    """The same files loaded under two ids: each payment once, as last written."""
+    cfg = history_settings(spark, sf_dir)
+    for load_id in ("first", "second/2"):
+        load.load_history(spark, cfg, load_id, F.to_date(F.lit(AS_OF)))
+    return current_scored(spark, cfg).drop("label_source", "batch_id")
+
+
+@query(
+    "customers_corrected",
+    with_views("customers")
+    + f"""select * replace (case when cast(card_number as bigint) % 3 = 0 then latitude + 1e0 else latitude end
+  as latitude), {age_sql('date_of_birth', repr(AS_OF))} as customer_age from customers""",
+)
+def customers_corrected(spark, sf_dir):
+    """Every customer twice in the file, then a corrected file under the same id."""
+    cfg = scratch_settings(spark)
+    customers = view(spark, sf_dir, "customers")
+    moved = F.when(F.col("card_number").cast("long") % 3 == 0, F.col("latitude") + 1)
+    corrected = customers.withColumn("latitude", F.coalesce(moved, "latitude"))
+    for rows in (customers.withColumn("city", F.lit("old")), corrected):
+        twice = rows.unionAll(rows)
+        twice.write.mode("overwrite").option("header", True).csv(cfg.customer_csv)
+        load.load_customers(spark, cfg, "2024/01/01", F.to_date(F.lit(AS_OF)))
+    return read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
+
+
 @query("table_scan", with_views("payments") + "select * from payments")
 def table_scan(spark, sf_dir):
     cfg = scratch_settings(spark)

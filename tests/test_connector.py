@@ -11,7 +11,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 from tests.test_sources import payments
 from txscore.schemas import SCORED
 from txscore.settings import Settings
-from txscore.sources.tables import append_table, read_class, read_scored, read_table, write_by_class
+from txscore.sources.tables import (
+    append_table,
+    current_scored,
+    read_class,
+    read_scored,
+    read_table,
+    write_by_class,
+)
 
 
 def line_store():
@@ -89,6 +96,9 @@ def test_classes_go_to_two_tables(spark, cfg, tmp_path):
     assert read_class(spark, cfg, 0).columns == read_class(spark, cfg, 1).columns
     found = {r["transaction_number"]: r["is_fraud"] for r in read_scored(spark, cfg).collect()}
     assert found == {"0": 0, "1": 1, "3": 0}
+    assert current_scored(spark, cfg, ("loaded", "predicted")).count() == 3
+    with pytest.raises(ValueError, match="does not tell"):
+        current_scored(spark, cfg, ("loaded",))
 
 
 def test_append_and_scan(spark, cfg):

@@ -11,6 +11,7 @@ from txscore.sources.kafka import sink_options, source_options, write_records
 from txscore.sources.tables import (
     append_table,
     commit_version,
+    current_scored,
     latest_version,
     read_class,
     read_scored,
@@ -111,13 +112,16 @@ def test_repeated_slice_leaves_one_copy(spark, cfg):
     write_by_class(payments(spark, [0]), cfg, "predicted", "a", 1)
     # the same batch again, now with a model that finds no fraud
     write_by_class(payments(spark, [0, 0, 0]), cfg, "predicted", "a", 0)
-    assert read_class(spark, cfg, 1).count() == 0
-    assert read_class(spark, cfg, 0).count() == 4
+    assert read_class(spark, cfg, 1, latest=False).count() == 0
+    assert read_class(spark, cfg, 0, latest=False).count() == 4
+    # the payment of both batches is one, as it was written last
+    newest = {r["transaction_number"]: r["batch_id"] for r in read_class(spark, cfg, 0).collect()}
+    assert newest == {"0": 0, "1": 0, "2": 0}
 
 
 def test_reading_a_class_prunes_folders(spark, cfg):
     write_by_class(payments(spark, [0, 1]), cfg, "loaded", "a", 0)
-    plan = read_class(spark, cfg, 1)._jdf.queryExecution().executedPlan().toString()
+    plan = read_class(spark, cfg, 1, latest=False)._jdf.queryExecution().executedPlan().toString()
     assert "is_fraud" in plan.split("PartitionFilters:")[1].split("]")[0]
 
 
@@ -128,11 +132,34 @@ def test_snapshot_replaces_keys_that_come_again(spark, cfg):
     upsert_snapshot(spark, customers(("1", "a"), ("2", "b")), cfg, "customers", "card_number", "v1")
     before = read_snapshot(spark, cfg, "customers", CUSTOMERS)
     upsert_snapshot(spark, customers(("2", "B"), ("3", "C")), cfg, "customers", "card_number", "v2")
-    # a second try of a committed version changes nothing
-    upsert_snapshot(spark, customers(("9", "x")), cfg, "customers", "card_number", "v2")
     now = read_snapshot(spark, cfg, "customers", CUSTOMERS).orderBy("card_number").collect()
     assert [tuple(r) for r in now] == [("1", "a"), ("2", "B"), ("3", "C")]
     assert before.count() == 2
+    # a corrected second try of the version: what only the first try had is gone
+    upsert_snapshot(spark, customers(("2", "b2"), ("2", "b1")), cfg, "customers", "card_number", "v2")
+    now = read_snapshot(spark, cfg, "customers", CUSTOMERS).orderBy("card_number").collect()
+    assert [tuple(r) for r in now] == [("1", "a"), ("2", "b2")]
+    upsert_snapshot(spark, customers(("4", "d")), cfg, "customers", "card_number", "v1")
+    now = read_snapshot(spark, cfg, "customers", CUSTOMERS).orderBy("card_number").collect()
+    assert [tuple(r) for r in now] == [("1", "a"), ("2", "b2"), ("4", "d")]
+
+
+@pytest.mark.parametrize("run_id", ["2024/01/01", "a=b", "50%", "x y", "é"])
+def test_any_id_names_a_slice(spark, cfg, run_id):
+    write_by_class(payments(spark, [0, 1]), cfg, "loaded", run_id, 0)
+    write_by_class(payments(spark, [0, 1]), cfg, "loaded", run_id, 0)
+    assert [r["run_id"] for r in read_scored(spark, cfg).collect()] == [run_id] * 2
+
+
+def test_rows_without_a_number_all_stay(spark, cfg):
+    rows = payments(spark, [0, 1]).withColumn("transaction_number", F.lit(None).cast("string"))
+    for batch in (0, 1):
+        write_by_class(rows, cfg, "loaded", "a", batch)
+    assert current_scored(spark, cfg).count() == 4
+
+
+def test_nothing_stored_reads_as_empty(spark, cfg):
+    assert current_scored(spark, cfg, ("loaded",)).count() == 0
 
 
 def test_latest_version_is_the_last_committed(spark, cfg):

@@ -5,16 +5,30 @@ from pyspark.sql import functions as F
 
 from checks.base import view
 from checks.streams import large_is_fraud
-from txscore.operators.enrich import accepted, match_customers, parse_payments, rejected
+from txscore.operators.enrich import (
+    accepted,
+    customer_side,
+    match_customers,
+    measured_bytes,
+    parse_payments,
+    rejected,
+)
 from txscore.operators.history import with_customer_age
 from txscore.operators.routing import class_counts
 from txscore.plans.train_models import TrainingOptions, train
-from txscore.schemas import MODEL_COLUMNS, SCORED_COLUMNS
+from txscore.schemas import CUSTOMER_TABLE, MODEL_COLUMNS, SCORED_COLUMNS
 from txscore.settings import Settings
 from txscore.sources.models import save_models
-from txscore.sources.tables import append_table, read_class, read_scored, upsert_snapshot
+from txscore.sources.tables import (
+    append_table,
+    read_class,
+    read_scored,
+    read_snapshot,
+    upsert_snapshot,
+)
 from txscore.streaming.scoring import (
     ForestScorer,
+    SnapshotSize,
     has_checkpoint,
     read_rejects,
     score_batch,
@@ -212,3 +226,37 @@ def test_topic_needs_the_connector(spark, cfg):
 def test_checkpoint_is_found(spark, cfg, inbox):
     run(spark, cfg, watch(spark, inbox))
     assert has_checkpoint(spark, cfg)
+
+
+@pytest.mark.parametrize("path", ["broadcast", "cut down", "shuffle"])
+def test_a_batch_reads_its_source_once(spark, cfg, inbox, path):
+    customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
+    cards = parse_payments(spark.read.parquet(inbox)).select("card_number").distinct()
+    small, large = sorted([measured_bytes(cards), measured_bytes(customer_side(customers))])
+    assert small < large
+    limit = {"broadcast": large, "cut down": small, "shuffle": 1}[path]
+    stream = start_scoring(
+        spark, cfg, watch(spark, inbox), large_is_fraud, until_caught_up=True, broadcast_limit=limit
+    )
+    stream.awaitTermination()
+    read = sum(p["numInputRows"] for p in stream.recentProgress)
+    assert read == spark.read.parquet(inbox).count()
+    assert read_scored(spark, cfg).count() + read_rejects(spark, cfg).count() == read
+
+
+def test_customers_are_measured_once_per_snapshot(spark, cfg):
+    size = SnapshotSize()
+    customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
+    first = size(customers, "v1")
+    assert size(customers.limit(0), "v1") == first > 0
+    assert size(customers.limit(0), "v2") == 0 and size(customers, None) == first
+
+
+def test_stream_by_interval(spark, cfg, inbox):
+    stream = start_scoring(spark, replace(cfg, batch_interval_ms=200), watch(spark, inbox), large_is_fraud)
+    try:
+        stream.processAllAvailable()
+        assert stream.isActive
+    finally:
+        stream.stop()
+    assert read_scored(spark, cfg).count() > 0

@@ -18,6 +18,7 @@ from txscore.schemas import PAYMENT_COLUMNS
 from txscore.session import BROADCAST_LIMIT
 
 ADDRESS_COLUMNS = ["latitude", "longitude", "date_of_birth"]
+FEATURE_COLUMNS = ["distance_from_customer_address", "age_at_transaction"]
 # object and hash-table overhead of a broadcast row, on the generous side
 ROW_OVERHEAD_BYTES = 64
 
@@ -49,16 +50,21 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
 
 
 def customers_for(
-    payments: DataFrame, customers: DataFrame, limit: int = BROADCAST_LIMIT
+    payments: DataFrame,
+    customers: DataFrame,
+    limit: int = BROADCAST_LIMIT,
+    customer_bytes: int | None = None,
 ) -> DataFrame:
     """The customers side of a join with a small set of payments, such as a micro-batch.
 
     Few customers are broadcast whole. Otherwise the cards of the payments are, if they are few,
     so that the customers are cut down where they are scanned instead of being shuffled for every
-    batch. If neither fits, both sides shuffle.
+    batch. If neither fits, both sides shuffle. `customer_bytes` saves measuring a snapshot again.
     """
     side = customer_side(customers)
-    if measured_bytes(side) <= limit:
+    if customer_bytes is None:
+        customer_bytes = measured_bytes(side)
+    if customer_bytes <= limit:
         return F.broadcast(side)
     cards = payments.select("card_number").filter("card_number is not null").distinct()
     if measured_bytes(cards) <= limit:
@@ -111,33 +117,51 @@ def parse_payments(records: DataFrame, source_zone: str = "UTC") -> DataFrame:
             c: to_double(F.col(c)) for c in ("amount", "merchant_latitude", "merchant_longitude")
         },
     })
-    return typed.withColumn("reject_reason", _payload_problem()).drop("is_malformed")
+    reason = F.when(F.col("is_malformed"), "malformed_json").otherwise(payment_problem())
+    return typed.withColumn("reject_reason", reason).drop("is_malformed")
+
 
+# why a payment is not stored, in the order in which the reasons count
+REASONS = [
+    "malformed_json",
+    "missing_card",
+    "bad_time",
+    "bad_amount",
+    "bad_location",
+    "unknown_card",
+    "incomplete_customer",
+    "no_label",
+]
 
-def _payload_problem() -> Column:
+
+def payment_problem() -> Column:
+    """What a typed payment lacks, whether it comes from a file or a topic; null if nothing."""
     location_missing = is_missing(F.col("merchant_latitude")) | is_missing(
         F.col("merchant_longitude")
     )
     return (
-        F.when(F.col("is_malformed"), "malformed_json")
-        .when(F.col("card_number").isNull(), "missing_card")
+        F.when(F.col("card_number").isNull(), "missing_card")
         .when(F.col("transaction_time").isNull(), "bad_time")
         .when(is_missing(F.col("amount")), "bad_amount")
         .when(location_missing, "bad_location")
     )
 
 
-def match_customers(payments: DataFrame, customers: DataFrame) -> DataFrame:
+def match_customers(
+    payments: DataFrame, customers: DataFrame, own_key: Column | None = None
+) -> DataFrame:
     """Left join that keeps every payment and completes `reject_reason`.
 
-    Payments that are rejected already join nothing. They get a join key of their own each, so
-    that a source full of broken records does not send them all to one task.
+    Payments that are rejected already join nothing. They get a join key of their own each
+    (`own_key`, by default the position in the topic), so that a source full of broken records
+    does not send them all to one task.
     """
     side = customer_side(customers).select(
         F.col("card_number").alias("customer_card"), *ADDRESS_COLUMNS
     )
     usable = F.col("reject_reason").isNull()
-    own_key = F.concat_ws(":", "partition", "offset")
+    if own_key is None:
+        own_key = F.concat_ws(":", "partition", "offset")
     keyed = payments.withColumn("is_usable", usable).withColumn(
         "join_key", F.when(usable, F.col("card_number")).otherwise(own_key)
     )

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# when the file of a row was written
+STORED_AT = "stored_at"
+
+
 def latest_by_key(df: DataFrame, key: str, *newest_first: Column) -> DataFrame:
     """One row per key, the first in the given order; the order must be total to be repeatable.
 
@@ -17,12 +21,13 @@ def latest_by_key(df: DataFrame, key: str, *newest_first: Column) -> DataFrame:
 
 
 def latest_scored(stored: DataFrame) -> DataFrame:
-    """One row per transaction number of stored payments: the last batch that wrote it wins.
+    """One row per transaction number of stored payments: the last write wins.
 
-    Batches of one stream do not repeat rows. A stream that starts over from the stored
-    positions can, as can a sender that repeats itself; this is the view without repeats.
+    Later is what was written later, then the higher batch; ties go by the other columns, so that
+    the choice repeats. Rows without a number have no key and all stay.
     """
-    others = [c for c in stored.columns if c not in ("transaction_number", "batch_id")]
-    return latest_by_key(
-        stored, "transaction_number", F.col("batch_id").desc(), *[F.col(c).desc() for c in others]
-    )
+    key = "transaction_number"
+    first = [c for c in (STORED_AT, "batch_id") if c in stored.columns]
+    order = [*first, *[c for c in stored.columns if c not in (key, *first)]]
+    keyed = latest_by_key(stored.filter(F.col(key).isNotNull()), key, *[F.col(c).desc() for c in order])
+    return keyed.unionByName(stored.filter(F.col(key).isNull()))

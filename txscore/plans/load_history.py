@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.operators.enrich import ADDRESS_COLUMNS, customer_side, enrich, with_features
+from txscore.operators.enrich import (
+    FEATURE_COLUMNS,
+    REASONS,
+    enrich,
+    match_customers,
+    payment_problem,
+)
 from txscore.operators.history import clean_transactions, with_customer_age
 from txscore.schemas import CUSTOMER_CSV, CUSTOMER_TABLE, TRANSACTION_CSV
 from txscore.settings import Settings
@@ -26,19 +32,19 @@ def enriched_history(raw: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def matched_history(spark: SparkSession, cfg: Settings) -> DataFrame:
-    """Every history payment with its customer, if known, and `reject_reason`."""
+    """Every history payment with its features and `reject_reason`, by the rules of the stream.
+
+    On top of those, a history payment needs a label.
+    """
     customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
     payments = clean_transactions(read_csv(spark, cfg.transaction_csv, TRANSACTION_CSV))
-    side = customer_side(customers).withColumnRenamed("card_number", "customer_card")
-    # payments without a card join nothing, and are kept from piling up on the null key
-    has_card = F.col("card_number").isNotNull()
-    key = F.coalesce("card_number", "transaction_number")
-    joined = payments.withColumn("join_key", key).join(
-        side, (F.col("join_key") == F.col("customer_card")) & has_card, "left"
+    of_row = F.concat(F.lit("row:"), F.xxhash64(*payments.columns).cast("string"))
+    matched = match_customers(
+        payments.withColumn("reject_reason", payment_problem()), customers, of_row
     )
     no_label = ~F.coalesce(F.col("is_fraud").isin(0, 1), F.lit(False))
-    reason = F.when(F.col("customer_card").isNull(), "unknown_card").when(no_label, "no_label")
-    return joined.withColumn("reject_reason", reason).drop("join_key", "customer_card")
+    reason = F.coalesce("reject_reason", F.when(no_label, "no_label"))
+    return matched.withColumn("reject_reason", reason)
 
 
 def load_transactions(
@@ -58,18 +64,16 @@ def load_transactions(
     counted = matched.observe(
         seen,
         F.count_if(reason.isNull()).alias("stored"),
-        F.count_if(reason == "unknown_card").alias("unknown_card"),
-        F.count_if(reason == "no_label").alias("no_label"),
+        *[F.count_if(reason == name).alias(name) for name in REASONS],
     )
-    stored = with_features(counted.filter(reason.isNull()))
-    write_by_class(stored, cfg, "loaded", load_id, 0)
+    write_by_class(counted.filter(reason.isNull()), cfg, "loaded", load_id, 0)
     return seen.get
 
 
 def history_rejects(spark: SparkSession, cfg: Settings) -> DataFrame:
     """The history payments that no class took, with the reason; for a look when there are any."""
     rejected = matched_history(spark, cfg).filter(F.col("reject_reason").isNotNull())
-    return rejected.drop(*ADDRESS_COLUMNS)
+    return rejected.drop(*FEATURE_COLUMNS)
 
 
 def load_history(

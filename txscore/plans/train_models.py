@@ -17,7 +17,7 @@ from txscore.operators.splits import TRAIN_SHARE, in_training, random_split
 from txscore.schemas import MODEL_COLUMNS
 from txscore.settings import Settings
 from txscore.sources.models import save_models
-from txscore.sources.tables import read_scored, replace_slice
+from txscore.sources.tables import LABEL_SOURCES, current_scored, replace_slice
 
 KEY = "transaction_number"
 NUMBERS = ["distance_from_customer_address", "amount", "age_at_transaction"]
@@ -29,7 +29,7 @@ class TrainingOptions:
     # "holdout": rows set aside before balancing; "balanced": a part of the balanced rows
     evaluate_on: str = "holdout"
     leave_out: tuple[str, ...] = features.LEAVE_OUT
-    label_sources: tuple[str, ...] = ("loaded", "predicted")
+    label_sources: tuple[str, ...] = LABEL_SOURCES
     train_share: float = TRAIN_SHARE
     # string columns that share a fixed number of slots instead of one slot per value
     hash_columns: tuple[str, ...] = ()
@@ -60,10 +60,8 @@ class Trained:
     metrics: DataFrame
 
 
-def training_rows(stored: DataFrame, options: TrainingOptions) -> DataFrame:
-    """The key, the model columns and the label of every stored payment."""
-    if "label_source" in stored.columns:
-        stored = stored.filter(F.col("label_source").isin(*options.label_sources))
+def training_rows(stored: DataFrame) -> DataFrame:
+    """The key, the model columns and the label of stored payments."""
     return stored.select(KEY, *MODEL_COLUMNS, F.col("is_fraud").alias("label"))
 
 
@@ -159,8 +157,9 @@ def train_models(
     version: str,
     options: TrainingOptions = TrainingOptions(),
 ) -> DataFrame:
-    """Retrain on everything stored so far, save under the version, return the metrics row."""
-    trained = train(training_rows(read_scored(spark, cfg), options), options)
+    """Retrain on all payments stored so far, each once as last written, save under the version, return the metrics row."""
+    stored = current_scored(spark, cfg, options.label_sources)
+    trained = train(training_rows(stored), options)
     metrics = trained.metrics.select(F.lit(version).alias("version"), "*")
     replace_slice(metrics, cfg, cfg.metric_table, {"version": version})
     save_models(spark, cfg, trained.preprocessor, trained.forest, version)

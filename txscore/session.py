@@ -49,7 +49,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         folder = context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        # `local` and `local[n]` are one process; `local-cluster` is not
+        if context.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         folder = tempfile.mkdtemp(prefix="txscore-")
     if not context.getCheckpointDir():

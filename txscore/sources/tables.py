@@ -6,17 +6,19 @@ connector with `keyspace` and `table` options, and upserting by key is then the
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txscore.operators.latest import STORED_AT, latest_by_key, latest_scored
 from txscore.schemas import SCORED, SCORED_SLICES, VERSIONS
 from txscore.settings import Settings
 
 CLASSES = (0, 1)
+LABEL_SOURCES = ("loaded", "predicted")
 
 
 def table_path(cfg: Settings, table: str) -> str:
@@ -48,6 +50,18 @@ def read_table(
         return spark.createDataFrame([], schema)
 
 
+# characters that mean something in a path or in the name of a partition folder
+_UNSAFE = set("\"#%'*/:=?\\{}[]^\x7f") | {chr(i) for i in range(32)}
+
+
+def slice_folder(name: str, value: object) -> str:
+    """Folder of one slice, written as Spark writes and reads the values of partition columns."""
+    text = str(value)
+    if not text:
+        raise ValueError(f"{name} must not be empty")
+    return f"/{name}=" + "".join(f"%{ord(c):02X}" if c in _UNSAFE else c for c in text)
+
+
 def append_table(df: DataFrame, cfg: Settings, table: str) -> None:
     writer = df.write.format(cfg.table_format).mode("append")
     if cfg.stores_files:
@@ -71,7 +85,7 @@ def replace_slice(
     if not cfg.stores_files:
         append_table(df, cfg, table)
         return
-    folder = "".join(f"/{name}={value}" for name, value in slices.items())
+    folder = "".join(slice_folder(name, value) for name, value in slices.items())
     (
         df.drop(*slices)
         .write.format(cfg.table_format)
@@ -118,7 +132,7 @@ def write_by_class(
 
 
 def read_scored(spark: SparkSession, cfg: Settings) -> DataFrame:
-    """All stored payments, with `is_fraud`, `label_source`, `run_id`, `batch_id`."""
+    """All stored payments, with `is_fraud`, `label_source`, `run_id`, `batch_id`, repeats included."""
     if cfg.stores_files:
         layout = T.StructType([*SCORED, *SCORED_SLICES])
         return read_table(spark, cfg, cfg.scored_table, layout)
@@ -127,10 +141,36 @@ def read_scored(spark: SparkSession, cfg: Settings) -> DataFrame:
     )
 
 
-def read_class(spark: SparkSession, cfg: Settings, is_fraud: int) -> DataFrame:
-    """Payments of one class; for files only that class's folders are read."""
+def current_scored(
+    spark: SparkSession, cfg: Settings, label_sources: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per transaction number: the last write of the given sources wins.
+
+    Files say themselves when they were written. A connector's store keeps one row per key, and
+    does not know sources.
+    """
+    stored = read_scored(spark, cfg)
+    if not cfg.stores_files:
+        if label_sources is not None and set(label_sources) != set(LABEL_SOURCES):
+            raise ValueError("this store does not tell loaded labels from predicted ones")
+        return stored
+    try:
+        stored = stored.select("*", F.col("_metadata.file_modification_time").alias(STORED_AT))
+    except AnalysisException:  # nothing is stored yet, so there are no files either
+        return stored
+    if label_sources is not None:
+        stored = stored.filter(F.col("label_source").isin(*label_sources))
+    return latest_scored(stored).drop(STORED_AT)
+
+
+def read_class(spark: SparkSession, cfg: Settings, is_fraud: int, latest: bool = True) -> DataFrame:
+    """Payments whose last write has this class.
+
+    With `latest` false every write counts, and of files only that class's folders are read.
+    """
     if cfg.stores_files:
-        return read_scored(spark, cfg).filter(F.col("is_fraud") == is_fraud).drop("is_fraud")
+        rows = current_scored(spark, cfg) if latest else read_scored(spark, cfg)
+        return rows.filter(F.col("is_fraud") == is_fraud).drop("is_fraud")
     return read_table(spark, cfg, cfg.fraud_table if is_fraud else cfg.non_fraud_table)
 
 
@@ -163,23 +203,49 @@ def latest_version(spark: SparkSession, cfg: Settings, name: str) -> str | None:
 def upsert_snapshot(
     spark: SparkSession, df: DataFrame, cfg: Settings, table: str, key: str, version: str
 ) -> None:
-    """Add rows to a versioned table; a key that comes again replaces its old rows.
+    """Add rows to a versioned table; a key that comes again replaces its old row.
 
     A new snapshot is written beside the old one, so a stream that reads the old one meanwhile
-    is not disturbed. A version that is already committed is left as it is, so a load that
-    failed later on can run again.
+    is not disturbed. A version that comes again is built anew from the newest snapshot of
+    another version, so a corrected file under the same name takes effect. Of rows with the same
+    key within `df` the greatest, column by column, is kept.
     """
     if not cfg.stores_files:
         append_table(df, cfg, table)
         return
-    previous = latest_version(spark, cfg, table)
-    if previous == version:
-        return
+    df = latest_by_key(df, key, *[F.col(c).desc() for c in df.columns if c != key])
+    previous, tries = _before(spark, cfg, table, version)
     if previous is not None:
-        kept = read_table(spark, cfg, table, df.schema, f"/version={previous}")
+        kept = read_table(spark, cfg, table, df.schema, slice_folder("version", previous))
         df = kept.join(df.select(key), key, "left_anti").unionByName(df)
-    replace_slice(df, cfg, table, {"version": version})
-    commit_version(spark, cfg, table, version)
+    stored_as = version if not tries else f"{version}{TRY_MARK}{tries}"
+    replace_slice(df, cfg, table, {"version": stored_as})
+    commit_version(spark, cfg, table, stored_as)
+
+
+# between the name of a version and the number of its repeated try
+TRY_MARK = "~"
+
+
+def _before(
+    spark: SparkSession, cfg: Settings, name: str, version: str
+) -> tuple[str | None, int]:
+    """Newest snapshot of another version, and how often this version was committed already."""
+    known = F.substring_index("version", TRY_MARK, 1)
+    own = known == version.split(TRY_MARK)[0]
+    found = (
+        read_table(spark, cfg, cfg.version_table, VERSIONS)
+        .filter(F.col("name") == name)
+        .agg(
+            F.max_by(
+                F.when(~own, F.col("version")),
+                F.when(~own, F.struct("committed_at", "version")),
+            ).alias("previous"),
+            F.count_if(own).alias("tries"),
+        )
+        .first()
+    )
+    return found["previous"], found["tries"]
 
 
 def read_snapshot(
@@ -191,4 +257,4 @@ def read_snapshot(
     version = latest_version(spark, cfg, table)
     if version is None:
         return spark.createDataFrame([], schema)
-    return read_table(spark, cfg, table, schema, f"/version={version}")
+    return read_table(spark, cfg, table, schema, slice_folder("version", version))

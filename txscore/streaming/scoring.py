@@ -12,8 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from txscore.operators.columns import rename_columns
 from txscore.operators.enrich import (
     accepted,
+    customer_side,
     customers_for,
     match_customers,
+    measured_bytes,
     parse_payments,
     rejected,
 )
@@ -24,7 +26,13 @@ from txscore.session import BROADCAST_LIMIT
 from txscore.settings import Settings
 from txscore.sources.kafka import read_records
 from txscore.sources.models import load_models, newest_model_version
-from txscore.sources.tables import read_snapshot, read_table, replace_slice, write_by_class
+from txscore.sources.tables import (
+    latest_version,
+    read_snapshot,
+    read_table,
+    replace_slice,
+    write_by_class,
+)
 
 # set by Spark on the thread that runs a micro-batch; the id lives in the checkpoint
 QUERY_ID = "sql.streaming.queryId"
@@ -32,6 +40,23 @@ QUERY_ID = "sql.streaming.queryId"
 Scorer = Callable[[DataFrame], DataFrame]
 
 
+class SnapshotSize:
+    """Bytes of the customers a join needs, measured once per snapshot.
+
+    A store without snapshots is measured each time.
+    """
+
+    def __init__(self) -> None:
+        self.version: str | None = None
+        self._bytes = 0
+
+    def __call__(self, customers: DataFrame, version: str | None) -> int:
+        if version is None or version != self.version:
+            self._bytes = measured_bytes(customer_side(customers))
+            self.version = version
+        return self._bytes
+
+
 class ForestScorer:
     """Adds `prediction` with the newest committed models; loads them only when they change."""
 
@@ -57,25 +82,31 @@ def score_batch(
     cfg: Settings,
     scorer: Scorer,
     broadcast_limit: int = BROADCAST_LIMIT,
+    size: SnapshotSize | None = None,
 ) -> None:
     """Score one micro-batch of (value, partition, offset) and store the outcome.
 
-    Customers are read anew each time, so a card opened today is known today. The three writes
+    The parsed batch is kept before anything looks at it, so its source is read once. Customers are read anew each time, so a card opened today is known today. The three writes
     replace the slice of this batch, so a repeated batch leaves one copy; positions come last.
     """
     spark = records.sparkSession
     slices = {"run_id": run_id, "batch_id": batch_id}
+    version = latest_version(spark, cfg, cfg.customer_table) if cfg.stores_files else None
     customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
-    payments = parse_payments(records, cfg.source_zone)
-    side = customers_for(payments, customers, broadcast_limit)
-    matched = match_customers(payments, side).persist()
+    payments = parse_payments(records, cfg.source_zone).persist()
     try:
-        scored = rename_columns(scorer(accepted(matched)), {"prediction": "is_fraud"})
-        write_by_class(scored, cfg, "predicted", run_id, batch_id, compact=True)
-        replace_slice(rejected(matched), cfg, cfg.reject_table, slices)
-        replace_slice(max_offset_per_partition(matched), cfg, cfg.offset_table, slices)
+        known = (size or SnapshotSize())(customers, version)
+        side = customers_for(payments, customers, broadcast_limit, known)
+        matched = match_customers(payments, side).persist()
+        try:
+            scored = rename_columns(scorer(accepted(matched)), {"prediction": "is_fraud"})
+            write_by_class(scored, cfg, "predicted", run_id, batch_id, compact=True)
+            replace_slice(rejected(matched), cfg, cfg.reject_table, slices)
+            replace_slice(max_offset_per_partition(matched), cfg, cfg.offset_table, slices)
+        finally:
+            matched.unpersist()
     finally:
-        matched.unpersist()
+        payments.unpersist()
 
 
 def stored_offsets(spark: SparkSession, cfg: Settings) -> DataFrame:
@@ -113,6 +144,7 @@ def start_scoring(
     records: DataFrame | None = None,
     scorer: Scorer | None = None,
     until_caught_up: bool = False,
+    broadcast_limit: int = BROADCAST_LIMIT,
 ) -> StreamingQuery:
     """Start the stream and return its handle; stopping it is up to the caller.
 
@@ -120,10 +152,11 @@ def start_scoring(
     """
     source = topic_records(spark, cfg) if records is None else records
     chosen = scorer or ForestScorer(cfg)
+    size = SnapshotSize()
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        score_batch(batch, batch_id, run_id, cfg, chosen)
+        score_batch(batch, batch_id, run_id, cfg, chosen, broadcast_limit, size)
 
     writer = source.writeStream.foreachBatch(each_batch).option(
         "checkpointLocation", cfg.checkpoint_location
