@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txscore.operators.latest import STORED_AT, latest_by_key, latest_scored
 from txscore.schemas import SCORED, SCORED_SLICES, VERSIONS
+from txscore.session import path_exists
 from txscore.settings import Settings
 
 CLASSES = (0, 1)
@@ -40,14 +40,12 @@ def read_table(
     reader = spark.read.format(cfg.table_format)
     if not cfg.stores_files:
         return reader.options(**_connector_options(cfg, table)).load()
+    path = table_path(cfg, table) + folder
     if schema is not None:
+        if not path_exists(spark, path):
+            return spark.createDataFrame([], schema)
         reader = reader.schema(schema)
-    try:
-        return reader.options(**cfg.table_options).load(table_path(cfg, table) + folder)
-    except AnalysisException as error:
-        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return reader.options(**cfg.table_options).load(path)
 
 
 # characters that mean something in a path or in the name of a partition folder
@@ -154,10 +152,9 @@ def current_scored(
         if label_sources is not None and set(label_sources) != set(LABEL_SOURCES):
             raise ValueError("this store does not tell loaded labels from predicted ones")
         return stored
-    try:
-        stored = stored.select("*", F.col("_metadata.file_modification_time").alias(STORED_AT))
-    except AnalysisException:  # nothing is stored yet, so there are no files either
+    if not path_exists(spark, table_path(cfg, cfg.scored_table)):
         return stored
+    stored = stored.select("*", F.col("_metadata.file_modification_time").alias(STORED_AT))
     if label_sources is not None:
         stored = stored.filter(F.col("label_source").isin(*label_sources))
     return latest_scored(stored).drop(STORED_AT)

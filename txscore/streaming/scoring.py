@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,7 +21,7 @@ from txscore.operators.enrich import (
 from txscore.operators.forest import score
 from txscore.operators.offsets import max_offset_per_partition, start_position
 from txscore.schemas import BATCH_SLICES, CUSTOMER_TABLE, OFFSETS, REJECTS
-from txscore.session import BROADCAST_LIMIT
+from txscore.session import BROADCAST_LIMIT, path_exists
 from txscore.settings import Settings
 from txscore.sources.kafka import read_records
 from txscore.sources.models import load_models, newest_model_version
@@ -120,13 +119,7 @@ def read_rejects(spark: SparkSession, cfg: Settings) -> DataFrame:
 
 
 def has_checkpoint(spark: SparkSession, cfg: Settings) -> bool:
-    try:
-        spark.read.text(f"{cfg.checkpoint_location}/metadata")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    return path_exists(spark, f"{cfg.checkpoint_location}/metadata")
 
 
 def topic_records(spark: SparkSession, cfg: Settings) -> DataFrame:
