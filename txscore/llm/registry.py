@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,3 +25,9 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def unit_hash(column: str) -> Column:
+    """A number from 0 up to 1 that depends on the column alone, to choose rows evenly."""
+    bits = 53
+    return F.xxhash64(column).bitwiseAND((1 << bits) - 1) / float(1 << bits)

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txscore.llm.registry import unit_hash
+
 # fixed values: pattern, group and least length of each kind
 PATTERNS = {
     "assign": (
@@ -227,12 +229,10 @@ def calibrate(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def examples(
     docs: DataFrame, *, max_docs: int = MAX_DOCS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Windows of labelled findings of at most `max_docs` documents: label, before, inside, after."""
-    keys = docs.select(id_column).filter(F.col(id_column).isNotNull()).distinct()
-    # at most max_docs ids, so small enough for every executor
-    chosen = keys.orderBy(F.xxhash64(id_column), id_column).limit(max_docs)
-    rows = docs.select(id_column, F.coalesce(text_column, F.lit("")).alias("text")).join(
-        F.broadcast(chosen), id_column, "left_semi"
+    """Windows of labelled findings of about `max_docs` documents: label, before, inside, after."""
+    share = max_docs / max(1, docs.count())
+    rows = docs.filter(F.col(id_column).isNotNull() & (unit_hash(id_column) < share)).select(
+        F.coalesce(text_column, F.lit("")).alias("text")
     )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,7 +245,7 @@ def examples(
                 out += [(label, *part) for label, a, b in spans for part in windows(text, a, b)[:1]]
             yield pd.DataFrame(out, columns=["label", "before", "inside", "after"])
 
-    return rows.select("text").mapInPandas(
+    return rows.mapInPandas(
         cut, "label int, before string, inside string, after string"
     )
 

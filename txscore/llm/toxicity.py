@@ -24,6 +24,7 @@ columns are ignored. Very long texts are read in parts.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,11 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txscore.llm.chunks import parts
+from txscore.llm.registry import unit_hash
 
-MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 2_000, 3_000, 20_000
+MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1_200, 1_600, 20_000
 MAX_SENTENCES = 30_000
 STARTS = (4, 5, 6)  # lengths of word beginnings that are features
-KNOWN_FORMS = 300_000  # of words with their punctuation, that one process remembers
+WAYS = 1 + len(STARTS)  # features of a word at most
+KNOWN_FORMS = 200_000  # of words with their punctuation, that one process remembers
 _STRIP = re.compile(r"^[\W_]+|[\W_]+$")
 _RUN = re.compile(r"\S+")
 SENTENCE_ENDS = ".!?"
@@ -63,7 +66,7 @@ class Chain:
     document: np.ndarray | None = None
     constant: float = 0.0
     forms: dict[str, int] = field(default_factory=dict, repr=False)
-    numbers: list[list[int]] = field(default_factory=list, repr=False)  # of features, by form
+    numbers: array = field(default_factory=lambda: array("i"), repr=False)  # of features, by form
 
     def codes(self, text: str) -> np.ndarray:
         """Of each run without white space: twice its form's number, plus one at a sentence's end."""
@@ -72,24 +75,27 @@ class Chain:
             forms = part.split()
             known = self.forms
             for form in set(forms).difference(known):
-                known[form] = 2 * len(self.numbers) + (form[-1] in SENTENCE_ENDS)
-                self.numbers.append(self._features_of(form))
+                known[form] = 2 * (len(self.numbers) // WAYS) + (form[-1] in SENTENCE_ENDS)
+                self.numbers.extend(self._features_of(form))
             found.append(np.fromiter(map(known.__getitem__, forms), np.int32, len(forms)))
         return np.concatenate(found)
 
     def _features_of(self, form: str) -> list[int]:
         none = len(self.vocabulary)
         mine = [self.vocabulary.get(name, none) for name in features(normal(form))]
-        return mine + [none] * (1 + len(STARTS) - len(mine))
+        return mine + [none] * (WAYS - len(mine))
+
+    def form_features(self) -> np.ndarray:
+        # a copy, as an array that is looked at cannot grow
+        return np.array(self.numbers, np.int32).reshape(-1, WAYS)
 
     def form_weights(self) -> np.ndarray:
-        shape = (len(self.numbers), 1 + len(STARTS))
-        return self.weight[np.array(self.numbers, np.int64).reshape(shape)].sum(axis=1)
+        return self.weight[self.form_features()].sum(axis=1)
 
     def forget(self) -> None:
         """Between batches, so that what is known of forms stays bounded."""
         if len(self.forms) > KNOWN_FORMS:
-            self.forms, self.numbers = {}, []
+            self.forms, self.numbers = {}, array("i")
 
     def marginals(self, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Probability that each word is toxic; `starts` are the sentences' first words."""
@@ -180,7 +186,7 @@ def toxic_features(docs: list[set[str]], toxic: np.ndarray) -> set[str]:
     for names, label in zip(docs, toxic, strict=True):
         (inside if label else outside).update(names)
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    least = max(2, n_toxic // 200)
+    least = max(3, n_toxic // 100)
     able = {
         name
         for name, n in inside.items()
@@ -210,7 +216,7 @@ def fit_chain(
 ) -> None:
     """Maximum conditional likelihood with squared weights held small, by adaptive gradient steps."""
     forms, rows = np.unique(codes >> 1, return_inverse=True)
-    numbers = np.array(chain.numbers, np.int64)[forms]
+    numbers = chain.form_features()[forms]
     n = len(chain.weight)
     first = np.zeros(len(codes), bool)
     first[starts] = True
@@ -279,9 +285,10 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Chain:
     vocabulary = {name: i for i, name in enumerate(kept)}
     chain = Chain(vocabulary, np.zeros(len(kept) + 1), np.zeros((2, 2)))
     all_codes = [chain.codes(text) for text in texts]
-    bad_form = np.zeros(len(chain.numbers), bool)
+    bad_form = np.zeros(len(chain.forms), bool)
     for form, code in chain.forms.items():
         bad_form[code >> 1] = not bad.isdisjoint(named[form])
+    del named, docs, counts
     chosen = [
         (codes, bad_form[codes >> 1] & label)
         for codes, label in zip(all_codes, toxic, strict=True)
@@ -302,7 +309,7 @@ def fit(texts: list[str], toxic: np.ndarray, share: float) -> Chain:
     x = evidence(chain.read(all_codes))
     weight = np.where(toxic, share / toxic.mean(), (1 - share) / (1 - toxic.mean()))
     chain.document = fit_logistic(x, toxic.astype(float), weight)
-    chain.forms, chain.numbers = {}, []
+    chain.forms, chain.numbers = {}, array("i")
     return chain
 
 
@@ -327,15 +334,17 @@ def train(
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
-    # at most max_toxic + max_clean ids, so small enough for every executor
-    chosen = [
-        known.filter(F.col("label") == label).orderBy(F.xxhash64(id_column), id_column).limit(n)
-        for label, n in ((1, max_toxic), (0, max_clean))
-    ]
+    # about max_toxic + max_clean ids, so small enough for every executor
+    part = F.when(F.col("label") == 1, max_toxic / max(1, counts.get(1, 0))).otherwise(
+        max_clean / max(1, counts.get(0, 0))
+    )
+    chosen = known.filter(unit_hash(id_column) < part)
     rows = (
         docs.select(id_column, F.coalesce(text_column, F.lit("")).alias("text"))
         .filter(F.length("text") <= max_chars)
-        .join(F.broadcast(chosen[0].unionAll(chosen[1])), id_column)
+        .join(F.broadcast(chosen), id_column)
+        .groupBy(id_column, "label")
+        .agg(F.max("text").alias("text"))
         .select("text", "label")
         .collect()
     )
