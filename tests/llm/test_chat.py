@@ -31,7 +31,7 @@ def test_escapes_are_taken_back():
 def test_turns_are_read_back(template):
     for role in ["user", "assistant", "a\nb", "", "<|im_start|>"]:
         for text in HOSTILE:
-            ids, start, stop = template.turn(role, text)
+            ((ids, start, stop),) = template.turns([(role, text)])
             assert sum(i >= template.start for i in ids) == 2
             assert template.read_turn(template.decode(ids)) == (role, text)
             assert chat.unescape(template.decode(ids[start:stop])) == text

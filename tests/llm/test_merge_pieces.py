@@ -22,8 +22,11 @@ def library():
 def test_ids_are_those_of_the_library(library):
     mine = PieceIds(MODEL)
     mine._lookup._limit = 200  # so that the table is emptied now and then
-    for text in [*odd_texts(), *ODD]:
-        assert np.frombuffer(mine(text), np.int32).tolist() == library.encode(text), repr(text)
+    texts = [*odd_texts(), *ODD]
+    alone = [np.frombuffer(mine.many([text])[0], np.int32).tolist() for text in texts]
+    together = [np.frombuffer(ids, np.int32).tolist() for ids in mine.many(texts)]
+    for text, one, other in zip(texts, alone, together, strict=True):
+        assert one == library.encode(text) and other == one, repr(text)
 
 
 def test_side_by_side_equals_one_at_a_time():

@@ -30,9 +30,12 @@ def test_ids_are_those_of_the_library(plain):
     library.encode_special_tokens = plain
     mine = TokenIds(VOCABULARY, plain_specials=plain)
     mine._lookup._limit = 200  # so that the table is emptied now and then
-    for text in odd_texts():
-        ids = np.frombuffer(mine(text), np.uint32).tolist()
-        assert ids == library.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = odd_texts()
+    wanted = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    alone = [np.frombuffer(mine.many([text])[0], np.uint32).tolist() for text in texts]
+    together = [np.frombuffer(ids, np.uint32).tolist() for ids in mine.many(texts)]
+    for text, ids, one, other in zip(texts, wanted, alone, together, strict=True):
+        assert one == ids and other == ids, repr(text)
 
 
 def test_long_texts_are_cut_at_safe_places():

@@ -61,10 +61,10 @@ class Template:
         self._tokenizer = self._encode.tokenizer
         self.start = self._tokenizer.get_vocab_size(with_added_tokens=True)
         self.end = self.start + 1
-        self._line = self.encode("\n")
+        (self._line,) = self.encode(["\n"])
 
-    def encode(self, text: str) -> list[int]:
-        return np.frombuffer(self._encode(text), np.uint32).tolist()
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [np.frombuffer(ids, np.uint32).tolist() for ids in self._encode.many(texts)]
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; reserved ids as their names."""
@@ -78,11 +78,15 @@ class Template:
     def _plain(self, ids: list[int]) -> str:
         return self._tokenizer.decode(ids, skip_special_tokens=False) if ids else ""
 
-    def turn(self, role: str, text: str) -> tuple[list[int], int, int]:
-        """Ids of a turn, and where its text starts and ends in them."""
-        head = [self.start, *self.encode(escape_role(role)), *self._line]
-        body = self.encode(escape(text))
-        return [*head, *body, self.end, *self._line], len(head), len(head) + len(body)
+    def turns(self, said: list[tuple[str, str]]) -> list[tuple[list[int], int, int]]:
+        """Of each role and text the ids of the turn, and where its text starts and ends in them."""
+        roles = self.encode([escape_role(role) for role, _ in said])
+        bodies = self.encode([escape(text) for _, text in said])
+        found = []
+        for role, body in zip(roles, bodies, strict=True):
+            head = [self.start, *role, *self._line]
+            found.append(([*head, *body, self.end, *self._line], len(head), len(head) + len(body)))
+        return found
 
     def read_turn(self, formatted: str) -> tuple[str, str]:
         """Role and text of a decoded turn."""
@@ -133,10 +137,8 @@ def format_turns(
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         template = Template(tokenizer_path)
         for batch in batches:
-            made = [
-                template.turn(role or "", text or "")
-                for role, text in zip(batch["role"], batch["text"], strict=True)
-            ]
+            said = zip(batch["role"], batch["text"], strict=True)
+            made = template.turns([(role or "", text or "") for role, text in said])
             yield pd.DataFrame({
                 id_column: batch[id_column],
                 "turn": batch["turn"],

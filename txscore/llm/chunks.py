@@ -16,7 +16,9 @@ from typing import Generic, TypeVar
 V = TypeVar("V")
 
 # pieces in the present table of a process, and at most as many in the old one
-KNOWN = 400_000
+KNOWN = 300_000
+# characters of texts that are looked up together, so that what is new is encoded in one go
+TOGETHER = 4 << 20
 # longer pieces are rare and are not remembered
 LONG = 64
 # characters of a very long text that are cut at once
@@ -51,29 +53,51 @@ class Lookup(Generic[V]):
         self._known: dict[str, V] = {}
         self._old: dict[str, V] = {}
 
-    def __call__(self, text: str) -> list[V]:
-        """Values of the pieces of a text or of a part of it, in order."""
-        if not text:
-            return []
+    def many(self, texts: list[str]) -> list[list[V]]:
+        """Values of the pieces of each text, in order."""
+        found: list[list[V]] = [[] for _ in texts]
+        owners: list[int] = []
+        group: list[str] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for part in parts(text):
+                if size > TOGETHER:
+                    self._add(group, owners, found)
+                    owners, group, size = [], [], 0
+                if part:
+                    owners.append(i)
+                    group.append(part)
+                    size += len(part)
+        self._add(group, owners, found)
+        return found
+
+    def _add(self, group: list[str], owners: list[int], found: list[list[V]]) -> None:
         # a piece stands in the table without its space; one after a line feed keeps that
-        head, *rest = text.replace("\n", " \n").split(" ")
-        if head == "" and len(rest) > 0:
-            # the part begins with its space or line feed, which is safe at the start of a part
-            head, *rest = rest
-            head = head if head.startswith("\n") else " " + head
+        cuts = []
+        for part in group:
+            head, *rest = part.replace("\n", " \n").split(" ")
+            if head == "" and rest:
+                # the part begins with its space or line feed, which is safe at the start of a part
+                head, *rest = rest
+                head = head if head.startswith("\n") else " " + head
+            cuts.append((head, rest))
         if len(self._known) > self._limit:
             self._old, self._known = self._known, {}
         known = self._known
-        new = set(rest).difference(known)
-        if any(piece == "" or piece[-1].isspace() for piece in new) or head[-1:].isspace():
-            return self._encode(_SAFE.split(text))
-        if new:
-            self._learn(new)
-        values = self._encode([head])
-        values += [known[piece] for piece in rest]
-        for piece in [piece for piece in new if len(piece) > LONG]:
-            del known[piece]
-        return values
+        new = set().union(*(rest for _, rest in cuts)).difference(known)
+        unsafe = {piece for piece in new if piece == "" or piece[-1].isspace()}
+        self._learn(new.difference(unsafe))
+        heads = list({head for head, _ in cuts})
+        head_values = dict(zip(heads, self._encode(heads), strict=True))
+        for i, part, (head, rest) in zip(owners, group, cuts, strict=True):
+            if head[-1:].isspace() or not unsafe.isdisjoint(rest):
+                found[i] += self._encode(_SAFE.split(part))
+            else:
+                found[i].append(head_values[head])
+                found[i] += [known[piece] for piece in rest]
+        for piece in new.difference(unsafe):
+            if len(piece) > LONG:
+                del known[piece]
 
     def _learn(self, new: set[str]) -> None:
         known, old = self._known, self._old

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txscore.llm.chunks import Lookup, parts
+from txscore.llm.chunks import Lookup
 
 MARK = "▁"
 # stretches up to this length are merged side by side, longer ones one at a time
@@ -226,11 +226,9 @@ class PieceIds:
                 raise RuntimeError(f"the library encodes {text[:80]!r} otherwise")
         return [np.array(ids, np.int32).tobytes() for ids in found]
 
-    def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        marked = " " + text.replace(MARK, " ")
-        return b"".join([value for part in parts(marked) for value in self._lookup(part)])
+    def many(self, texts: list[str]) -> list[bytes]:
+        marked = [" " + text.replace(MARK, " ") if text else "" for text in texts]
+        return [b"".join(values) for values in self._lookup.many(marked)]
 
 
 @lru_cache(maxsize=4)
@@ -256,10 +254,12 @@ def encode_decode(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = piece_ids(model_path)
         for batch in batches:
-            # small slices, as ids and decoded texts of a slice are held together
+            texts = [text or "" for text in batch.column("text").to_pylist()]
+            encoded = encode.many(texts)
+            # small slices, as the decoded texts of a slice are held together
             for at in range(0, len(batch), 256):
                 part = batch.slice(at, 256)
-                found = [encode(text or "") for text in part.column("text").to_pylist()]
+                found = encoded[at : at + 256]
                 ids = [np.frombuffer(one, np.int32) for one in found]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 flat = pa.array(np.frombuffer(b"".join(found), np.int32))

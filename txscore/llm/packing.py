@@ -87,8 +87,9 @@ def cut_documents(
         encode = token_ids(tokenizer_path)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch[id_column], batch["text"], strict=True):
-                data = little_endian(encode(text or "") + end)
+            found = encode.many([text or "" for text in batch["text"]])
+            for doc_id, ids in zip(batch[id_column], found, strict=True):
+                data = little_endian(ids + end)
                 starts = piece_starts(len(data) // 4, size)
                 ends = [*starts[1:], len(data) // 4]
                 for i, (a, b) in enumerate(zip(starts, ends, strict=True)):

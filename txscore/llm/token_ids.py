@@ -6,7 +6,7 @@ import os
 from array import array
 from functools import lru_cache
 
-from txscore.llm.chunks import Lookup, parts
+from txscore.llm.chunks import Lookup
 
 
 def _cut_end(piece: str) -> int:
@@ -28,9 +28,9 @@ class TokenIds:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array("I", one.ids).tobytes() for one in found]
 
-    def __call__(self, text: str) -> bytes:
-        """Ids as unsigned 32-bit numbers in the machine's order."""
-        return b"".join([value for part in parts(text) for value in self._lookup(part)])
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as unsigned 32-bit numbers in the machine's order."""
+        return [b"".join(values) for values in self._lookup.many(texts)]
 
 
 @lru_cache(maxsize=4)
