@@ -197,8 +197,11 @@ def near_duplicates(
     edges = links(nodes.select("bits"))
     known = nodes.select(F.col("bits").alias("node"), F.col("first").alias("label"))
     found = components(known, edges)
-    named = nodes.join(found.withColumnRenamed("node", "bits"), "bits", "left").select(
-        "bits", F.coalesce("label", "first").alias("component_id")
+    # cut off, so that the join below reads two plain shuffles, which Spark splits where copies abound
+    named = (
+        nodes.join(found.withColumnRenamed("node", "bits"), "bits", "left")
+        .select("bits", F.coalesce("label", "first").alias("component_id"))
+        .checkpoint()
     )
     return marked.join(named, "bits").select(id_column, "bits", "component_id")
 
