@@ -66,17 +66,17 @@ class Template:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [np.frombuffer(ids, np.uint32).tolist() for ids in self._encode.many(texts)]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Text of ids; reserved ids as their names."""
+        ids = np.asarray(ids)
         out, at = [], 0
-        for i, one in enumerate(ids):
-            if one >= self.start:
-                out += [self._plain(ids[at:i]), START if one == self.start else END]
-                at = i + 1
+        for i in np.flatnonzero(ids >= self.start).tolist():
+            out += [self._plain(ids[at:i]), START if ids[i] == self.start else END]
+            at = i + 1
         return "".join([*out, self._plain(ids[at:])])
 
-    def _plain(self, ids: list[int]) -> str:
-        return self._tokenizer.decode(ids, skip_special_tokens=False) if ids else ""
+    def _plain(self, ids: np.ndarray) -> str:
+        return self._tokenizer.decode(ids.tolist(), skip_special_tokens=False) if len(ids) else ""
 
     def turns(self, said: list[tuple[str, str]]) -> list[tuple[list[int], int, int]]:
         """Of each role and text the ids of the turn, and where its text starts and ends in them."""
@@ -222,7 +222,7 @@ class _Conversation:
         self.said, self.loss = hashlib.sha256(), hashlib.sha256()
 
     def add(self, template: Template, row) -> None:
-        ids = [int(i) for i in row.ids]
+        ids = np.asarray(row.ids)
         text = template.decode(ids)
         role, said = template.read_turn(text)
         self.turns += 1
