@@ -49,6 +49,22 @@ def test_candidates_keep_off_findings():
     assert others == ["10.20.30.40.50", "some9digits9here"]
 
 
+def test_every_run_and_what_findings_leave_of_it_is_a_candidate():
+    key = "0123456789abcdef"
+    text = f"qwErtzUiopAsdFgh plain ghp_{key}Zx81Qq73Mn02 {key}/Zx81Qq73Mn02Lk55 leftOfTheOne/{key}+short {key}Z"
+    cut = [text[a:b] for a, b in secrets.candidates(text, base_findings(text))]
+    assert cut == ["qwErtzUiopAsdFgh", "Zx81Qq73Mn02", "/Zx81Qq73Mn02Lk55", "leftOfTheOne/"]
+    dice = random.Random(4)
+    for _ in range(1000):
+        text = noise(dice, dice.randrange(40))
+        base = base_findings(text)
+        free = "".join(
+            "\0" if any(a <= i < b for a, b, _ in base) else c for i, c in enumerate(text)
+        )
+        runs = [m.span() for m in re.finditer("[A-Za-z0-9+/_=.-]{12,}", free)]
+        assert secrets.candidates(text, base) == runs, text
+
+
 @pytest.mark.parametrize("size", [12, 64, 65, 112, 113, 1000])
 def test_windows_cover_a_candidate(size):
     text = "before " + "".join(random.Random(size).choices(string.ascii_letters, k=size)) + " after"

@@ -1,7 +1,8 @@
 """Secrets in texts: three fixed patterns, and a character network over every other candidate.
 
 The patterns give kinds assign (the value after a name like `password`), access and hex. Every other
-run of at least 12 key characters with a digit is a candidate. A convolutional network in numpy
+run of at least 12 key characters is a candidate, and of a run that holds findings what is left
+beside them, if that is as long. A convolutional network in numpy
 reads it with its surroundings: embedded characters, filters of five characters, the largest
 answer of each filter, one logistic unit. Long candidates are read window by window and the
 highest answer counts. It is fitted on labelled findings, what the patterns find (1) against
@@ -45,7 +46,8 @@ PATTERNS = {
 KINDS = (*PATTERNS, "model")
 # runs of at least the least length are all that can match; shorter ones need no look
 _LONG_HEX = re.compile("[0-9a-f]{16,}")
-_RUN = re.compile("[A-Za-z0-9+/_=.-]{12,}")
+LEAST = 12
+_RUN = re.compile(f"[A-Za-z0-9+/_=.-]{{{LEAST},}}")
 _DIGIT = re.compile("[0-9]")
 
 MAX_DOCS, MAX_EXAMPLES = 20_000, 6_000
@@ -70,21 +72,26 @@ def base_findings(text: str) -> list[tuple[int, int, str]]:
     return [(start, end, kind) for start, _, end, kind in sorted(found)]
 
 
-def other_candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Runs with a digit that overlap no finding. `taken` is by start."""
-    found, at, reach = [], 0, 0
+def candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Runs, or what findings leave of them. `taken` is by start."""
+    found, at = [], 0
     for match in _RUN.finditer(text):
         start, end = match.span()
-        if not _DIGIT.search(text, start, end):
-            continue
-        while at < len(taken) and taken[at][0] < end:
-            reach = max(reach, taken[at][1])
-            at += 1
-        if reach <= start:
-            found.append((start, end))
+        while start < end:
+            while at < len(taken) and taken[at][1] <= start:
+                at += 1
+            begins = taken[at][0] if at < len(taken) else end
+            if min(end, begins) - start >= LEAST:
+                found.append((start, min(end, begins)))
+            start = end if begins >= end else taken[at][1]
     return found
 
 
+def other_candidates(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Only the candidates with a digit."""
+    return [(a, b) for a, b in candidates(text, taken) if _DIGIT.search(text, a, b)]
+
+
 def windows(text: str, start: int, end: int) -> list[tuple[str, str, str]]:
     """Before, inside and after, for each window of a candidate."""
     found = []
@@ -241,7 +248,7 @@ def examples(
             for text in batch["text"]:
                 base = base_findings(text)
                 spans = [(1, a, b) for a, b, _ in base]
-                spans += [(0, a, b) for a, b in other_candidates(text, base)]
+                spans += [(0, a, b) for a, b in candidates(text, base)]
                 out += [(label, *part) for label, a, b in spans for part in windows(text, a, b)[:1]]
             yield pd.DataFrame(out, columns=["label", "before", "inside", "after"])
 
@@ -265,7 +272,7 @@ def train(
 def findings(text: str, net: Network) -> list[tuple[str, int, int, float]]:
     """Kind, start, end and calibrated probability of all findings of a text."""
     base = base_findings(text)
-    others = other_candidates(text, base)
+    others = candidates(text, base)
     if not base and not others:
         return []
     sure = net.of_candidates(text, [(a, b) for a, b, _ in base] + others)
