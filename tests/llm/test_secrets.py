@@ -148,3 +148,35 @@ def test_tables(spark):
     by_id = {r.doc_id: r for r in cleaned.collect()}
     assert by_id[0].text is None and by_id[3].text == "a token=[SECRET] b" and by_id[None].findings == [2]
     assert secrets.find_secrets(docs.limit(0), secrets.train(docs.limit(0))).count() == 0
+
+
+def rare(n):
+    """Rows of log lines, one in 1,500 of them with a key of 32 hex digits."""
+    dice = random.Random(9)
+    rows = []
+    for i in range(n):
+        host = ".".join(str(dice.randrange(10, 255)) for _ in range(4))
+        key = "".join(dice.choices("0123456789abcdef", k=32)) if i % 1500 == 7 else ""
+        rows.append((i, f"from {host} read /some/longer/path{i} {key}"))
+    return rows
+
+
+def test_rare_findings_are_all_fitted_on_and_the_asked_recall_holds(spark):
+    docs = spark.createDataFrame(rare(6000), "doc_id long, text string")
+    net = secrets.train(docs, max_docs=1000, max_examples=300)
+    assert net.threshold <= 1 and net.recall >= 0.99
+    found = [f for r in secrets.find_secrets(docs, net).collect() for f in r.findings]
+    base = [f for f in found if f.kind == "hex"]
+    assert len(base) == 4 and np.mean([f.score >= net.threshold for f in base]) >= 0.99
+    assert sum(f.kind == "model" for f in found) < 60
+
+
+def test_threshold_holds_recall_over_all_counts():
+    net = secrets.fit_network(*labelled(50, 4))
+    raw, y, n = np.array([-2.0, 0, 1, 3, -3, 0.5]), np.array([1.0, 1, 1, 1, 0, 0]), np.array([1.0, 9, 40, 50, 900, 5])
+    for recall, least in ((0.99, 0.0), (1.0, -2.0), (0.9, 1.0)):
+        net.set_threshold(raw, y, n, recall)
+        assert (net.calibrated(raw) >= net.threshold).tolist() == (raw >= least).tolist()
+        assert net.recall >= recall
+    net.set_threshold(raw, y, n, 1.0, floor=0.999)
+    assert net.threshold == 0.999 and net.recall < 1

@@ -6,12 +6,15 @@ beside them, if that is as long. A convolutional network in numpy
 reads it with its surroundings: embedded characters, filters of five characters, the largest
 answer of each filter, one logistic unit. Long candidates are read window by window and the
 highest answer counts. It is fitted on labelled findings, what the patterns find (1) against
-other candidates (0), from a bounded sample of documents; one part of them is kept to calibrate
-the probability and to set the threshold: the highest at which the asked recall of the kept
-findings holds. Candidates above it that overlap no finding of a pattern are added, as kind model.
+other candidates (0): at most 2,000 different windows each of the findings of all documents, and of
+the candidates with a digit and without one of about 20,000 documents, chosen by a hash. All findings
+and all candidates of the table are then scored and counted in bins of the score. From those counts
+the probability is calibrated and the threshold set: the highest at which the asked recall of the
+findings holds, or `floor` if that is higher. `Network.recall` is the recall at the threshold.
+Candidates above it are added, as kind model.
 
 Cases: a null or empty text has no findings. Equal starts go by kind in the order above. Without
-findings or without other candidates in the sample nothing is added. A null id is kept; repeated
+findings, or without other candidates in the sample, nothing is added. A null id is kept; repeated
 rows are scanned alike; an empty table gives an empty result; other columns are ignored by
 `find_secrets` and kept by `redact`. All texts are scanned whole, each run once.
 """
@@ -19,6 +22,7 @@ rows are scanned alike; an empty table gives an empty result; other columns are
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txscore.llm.registry import unit_hash
+from txscore.session import shared_folder
 
 # fixed values: pattern, group and least length of each kind
 PATTERNS = {
@@ -50,7 +55,8 @@ LEAST = 12
 _RUN = re.compile(f"[A-Za-z0-9+/_=.-]{{{LEAST},}}")
 _DIGIT = re.compile("[0-9]")
 
-MAX_DOCS, MAX_EXAMPLES = 20_000, 6_000
+MAX_DOCS, MAX_EXAMPLES = 20_000, 2_000  # of the candidates; of each group
+BINS, TOP = 64, 64  # bins for each unit of the raw score, which is cut off at -TOP and TOP
 BEFORE, INSIDE, AFTER = 24, 64, 8
 STEP = 48  # of the windows of a long candidate
 WIDTH, EMBEDDED, FILTERS = 5, 10, 24
@@ -126,6 +132,7 @@ class Network:
     slope: float = 1.0  # of the calibration
     shift: float = 0.0
     threshold: float = 2.0  # above any probability
+    recall: float = 0.0  # of the findings, at the threshold
 
     def forward(self, ids: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, ...]:
         """Windows of the input, the largest answer of each filter, where it is, and the raw score."""
@@ -137,22 +144,49 @@ class Network:
         top = np.maximum(np.take_along_axis(answers, best[:, None, :], axis=1)[:, 0], 0)
         return spans, top, best, top @ self.out + self.offset
 
-    def probability(self, parts: list[tuple[str, str, str]]) -> np.ndarray:
+    def raw(self, parts: list[tuple[str, str, str]]) -> np.ndarray:
         raw = [
             self.forward(*coded(parts[at : at + 512]))[3] for at in range(0, len(parts), 512)
         ]
-        return _logistic(self.slope * np.concatenate(raw or [np.zeros(0)]) + self.shift)
+        return np.concatenate(raw or [np.zeros(0)])
+
+    def calibrated(self, raw: np.ndarray) -> np.ndarray:
+        return _logistic(self.slope * raw + self.shift)
+
+    def probability(self, parts: list[tuple[str, str, str]]) -> np.ndarray:
+        return self.calibrated(self.raw(parts))
 
     def of_candidates(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+        return self.calibrated(self.raw_of_candidates(text, spans))
+
+    def raw_of_candidates(self, text: str, spans: list[tuple[int, int]]) -> np.ndarray:
         parts, owner = [], []
         for i, (start, end) in enumerate(spans):
             mine = windows(text, start, end)
             parts += mine
             owner += [i] * len(mine)
-        best = np.zeros(len(spans))
-        np.maximum.at(best, np.array(owner, int), self.probability(parts))
+        best = np.full(len(spans), -np.inf)
+        np.maximum.at(best, np.array(owner, int), self.raw(parts))
         return best
 
+    def set_threshold(
+        self, raw: np.ndarray, y: np.ndarray, counts: np.ndarray, recall: float, floor: float = 0.0
+    ) -> None:
+        """Calibrate on counted scores; the highest threshold at which `recall` of the ones holds.
+
+        A score stands for those from it up to the next.
+        """
+        self.slope, self.shift = calibrate(raw, y, counts)
+        self.slope = max(self.slope, 1e-6)  # a higher score is never less likely
+        ones = y == 1
+        order = np.argsort(-raw[ones])
+        reached = np.cumsum(counts[ones][order]) / max(1, counts[ones].sum())
+        if len(reached):
+            least = raw[ones][order][np.argmax(reached >= min(recall, reached[-1]))]
+            self.threshold = max(float(self.calibrated(least)) - 1e-12, floor)
+            kept = self.calibrated(raw[ones]) >= self.threshold
+            self.recall = float(counts[ones][kept].sum() / counts[ones].sum())
+
 
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
@@ -176,7 +210,10 @@ def fit_network(
     positive: list[tuple[str, str, str]], negative: list[tuple[str, str, str]],
     *, recall: float = RECALL, epochs: int = 20,
 ) -> Network:
-    """Fitted on four fifths, calibrated on the rest. Without both kinds it finds nothing."""
+    """Fitted on four fifths, calibrated on the rest; on all if there are fewer than five of a kind.
+
+    Without both kinds it finds nothing.
+    """
     dice = np.random.default_rng(11)
     inputs = WIDTH * (EMBEDDED + 1)
     net = Network(
@@ -185,12 +222,14 @@ def fit_network(
         np.zeros(FILTERS),
         dice.normal(size=FILTERS) * 0.3,
     )
-    if min(len(positive), len(negative)) < 5:
+    if not positive or not negative:
         return net
     ids, inside = coded(positive + negative)
     y = np.repeat([1.0, 0.0], [len(positive), len(negative)])
     order = dice.permutation(len(y))
-    kept, order = order[::5], np.delete(order, slice(None, None, 5))
+    kept = order
+    if min(len(positive), len(negative)) >= 5:
+        kept, order = order[::5], np.delete(order, slice(None, None, 5))
     names = ["embedding", "filters", "bias", "out", "offset"]
     mean = [np.zeros_like(np.asarray(getattr(net, name), float)) for name in names]
     square = [m.copy() for m in mean]
@@ -206,27 +245,22 @@ def fit_network(
                 square[i] = 0.999 * square[i] + 0.001 * slope**2
                 move = (mean[i] / (1 - 0.9**step)) / (np.sqrt(square[i] / (1 - 0.999**step)) + 1e-8)
                 setattr(net, names[i], getattr(net, names[i]) + 0.005 * move)
-    raw = net.forward(ids[kept], inside[kept])[3]
-    net.slope, net.shift = calibrate(raw, y[kept])
-    sure = _logistic(net.slope * raw + net.shift)
-    found = np.sort(sure[y[kept] == 1])
-    if len(found):
-        net.threshold = float(found[int((1 - recall) * len(found))])
-        # what is as likely no secret is not added, whatever the recall asks
-        net.threshold = max(net.threshold, 0.5)
+    parts = positive + negative
+    raw = net.raw([parts[i] for i in kept])
+    net.set_threshold(raw, y[kept], np.ones(len(kept)), recall)
     return net
 
 
-def calibrate(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def calibrate(raw: np.ndarray, y: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic curve, with targets drawn in a little where few rows are."""
-    ups, downs = y.sum(), len(y) - y.sum()
+    ups, downs = (counts * y).sum(), (counts * (1 - y)).sum()
     goal = np.where(y == 1, (ups + 1) / (ups + 2), 1 / (downs + 2))
     beta = np.array([1.0, 0.0])
     x = np.stack([raw, np.ones_like(raw)], axis=1)
     for _ in range(100):
         p = _logistic(x @ beta)
-        bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        move = np.linalg.solve(bend, x.T @ (goal - p))
+        bend = (x * (counts * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
+        move = np.linalg.solve(bend, x.T @ (counts * (goal - p)))
         beta = beta + move * min(1.0, 1 / max(np.abs(move).max(), 1e-12))
         if np.abs(move).max() < 1e-9:
             break
@@ -236,37 +270,85 @@ def calibrate(raw: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def examples(
     docs: DataFrame, *, max_docs: int = MAX_DOCS, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Windows of labelled findings of about `max_docs` documents: label, before, inside, after."""
+    """Windows of the findings of all documents and of other candidates of about `max_docs`.
+
+    Columns label, digit (whether the candidate has one), before, inside, after.
+    """
     share = max_docs / max(1, docs.count())
-    rows = docs.filter(F.col(id_column).isNotNull() & (unit_hash(id_column) < share)).select(
-        F.coalesce(text_column, F.lit("")).alias("text")
+    rows = docs.select(
+        F.coalesce(text_column, F.lit("")).alias("text"),
+        (F.col(id_column).isNotNull() & (unit_hash(id_column) < share)).alias("chosen"),
     )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for text in batch["text"]:
+            for text, chosen in zip(batch["text"], batch["chosen"], strict=True):
                 base = base_findings(text)
                 spans = [(1, a, b) for a, b, _ in base]
-                spans += [(0, a, b) for a, b in candidates(text, base)]
-                out += [(label, *part) for label, a, b in spans for part in windows(text, a, b)[:1]]
-            yield pd.DataFrame(out, columns=["label", "before", "inside", "after"])
+                spans += [(0, a, b) for a, b in candidates(text, base)] if chosen else []
+                out += [
+                    (label, bool(_DIGIT.search(text, a, b)), *windows(text, a, b)[0])
+                    for label, a, b in spans
+                ]
+            yield pd.DataFrame(out, columns=["label", "digit", "before", "inside", "after"])
 
     return rows.mapInPandas(
-        cut, "label int, before string, inside string, after string"
+        cut, "label int, digit boolean, before string, inside string, after string"
     )
 
 
+def score_counts(docs: DataFrame, net: Network, *, text_column: str = "text") -> DataFrame:
+    """Columns label, bin and n: all findings (1) and other candidates (0) by their raw score."""
+    rows = docs.select(F.coalesce(text_column, F.lit("")).alias("text"))
+    sent = docs.sparkSession.sparkContext.broadcast(net)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts: Counter = Counter()
+            for text in batch["text"]:
+                base = base_findings(text)
+                spans = [(a, b) for a, b, _ in base]
+                others = candidates(text, base)
+                if spans or others:
+                    raw = sent.value.raw_of_candidates(text, spans + others)
+                    bins = np.floor(np.clip(raw, -TOP, TOP) * BINS).astype(int).tolist()
+                    counts.update((int(i < len(spans)), at) for i, at in enumerate(bins))
+            yield pd.DataFrame(
+                [(*key, n) for key, n in counts.items()], columns=["label", "bin", "n"]
+            )
+
+    found = rows.mapInPandas(count, "label int, bin int, n long")
+    return found.groupBy("label", "bin").agg(F.sum("n").alias("n"))
+
+
 def train(
     docs: DataFrame, *, max_docs: int = MAX_DOCS, max_examples: int = MAX_EXAMPLES,
-    recall: float = RECALL, id_column: str = "doc_id", text_column: str = "text",
+    recall: float = RECALL, floor: float = 0.0, id_column: str = "doc_id", text_column: str = "text",
 ) -> Network:
+    """Fitted on at most `max_examples` windows of each group; threshold and calibration by all rows.
+
+    With a `floor` no candidate less likely than it is added, and the recall may be below the asked
+    one; the network's `recall` says how far.
+    """
+    shared_folder(docs.sparkSession)  # sets the checkpoint folder where the cluster has not
     found = examples(docs, max_docs=max_docs, id_column=id_column, text_column=text_column)
-    windows_of = found.distinct().orderBy(F.xxhash64("before", "inside", "after"), *found.columns)
-    rows = sorted(map(tuple, windows_of.limit(max_examples).collect()))
-    return fit_network(
+    found = found.distinct().checkpoint()
+    order = F.xxhash64("before", "inside", "after"), *found.columns
+    groups = [F.col("label") == 1, *((F.col("label") == 0) & (F.col("digit") == d) for d in (True, False))]
+    rows = sorted(
+        (r.label, r.before, r.inside, r.after)
+        for group in groups
+        for r in found.filter(group).orderBy(*order).limit(max_examples).collect()
+    )
+    net = fit_network(
         [r[1:] for r in rows if r[0] == 1], [r[1:] for r in rows if r[0] == 0], recall=recall
     )
+    if rows and 0 < sum(r[0] for r in rows) < len(rows):
+        scored = score_counts(docs, net, text_column=text_column).orderBy("label", "bin").collect()
+        label, at, n = np.array([tuple(r) for r in scored], float).T
+        net.set_threshold(at / BINS, label, n, recall, floor)
+    return net
 
 
 def findings(text: str, net: Network) -> list[tuple[str, int, int, float]]:
