@@ -149,3 +149,21 @@ def test_empty_tables(spark):
     assert topk.top_k(empty, F.col("vec_id") >= 0, 3).count() == 0
     assert neighbours.nearest(empty, F.col("vec_id") >= 0, 3).count() == 0
     assert topk.top_k(table(spark, [(1, [1.0])]), F.col("vec_id") >= 0, 3).count() == 0
+
+
+def test_own_rows_take_no_place(spark):
+    def whole(a, b):
+        return sum(int(x) * int(y) for x, y in zip(a, b, strict=True))
+
+    tied = [(50, [4.0, 1.0])] * 2 + [(i, [4.0, 1.0]) for i in range(101, 106)]
+    copied = [(55, [1.0, 6.0])] * 6 + [(i, [1.0, 6.0]) for i in (10, 56, 57, 58, 59, 61, 62)]
+    several = [(60, [7.0, 7.0 + i]) for i in range(12)] + [(200 + i, [1.0 + i % 2, 2.0]) for i in range(400)]
+    many = [(300 + i, [float(i % 20), float(i // 20)]) for i in range(100)]
+    vectors = tied + copied + several + many
+    table_of = table(spark, vectors)
+    is_query = F.col("vec_id").isin(50, 55, 60)
+    wanted = brute(vectors, [50, 55, 60], 5, whole)
+    assert found(topk.top_k(table_of, is_query, 5, scale=1)) == wanted
+    assert found(neighbours.nearest(table_of, is_query, 5, certainty=1.1)) == wanted
+    # alone, the last of the ties has no other row to hide behind
+    assert [i for i, _ in found(topk.top_k(table(spark, tied), is_query, 5))[50]] == [101, 102, 103, 104, 105]

@@ -33,6 +33,7 @@ from txscore.llm.vectors import (
     counted,
     grid,
     one_per_id,
+    only_own,
     query_rows,
     ranked,
     unpack,
@@ -96,9 +97,10 @@ def build_index(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def visit(
-    queries: np.ndarray, vectors: np.ndarray, leaves: np.ndarray, k: int, certainty: float
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each query the scores of all rows, -inf where not verified, and the k-th best of them."""
+    queries: np.ndarray, vectors: np.ndarray, leaves: np.ndarray, k: int, certainty: float,
+    own: np.ndarray | None = None,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query the scores of all rows, -inf where not verified or `own`, and the k-th best."""
     _, norm = lifted(vectors)
     lengths = np.sqrt(np.einsum("ij,ij->i", queries, queries))
     projected = (queries * (norm / lengths)[:, None]) @ projection(queries.shape[1])[1:]
@@ -116,6 +118,8 @@ def visit(
         for leaf, members in _by_leaf(order[open_rows, seen : seen + step], open_rows):
             rows = slice(starts[leaf], starts[leaf + 1])
             scores[members, rows] = queries[members] @ vectors[rows].T
+        if own is not None:
+            scores[own] = -np.inf
         seen, step = seen + step, step + step // 2 + 1
         if len(vectors) >= k:
             kth[open_rows] = np.partition(scores[open_rows], len(vectors) - k, axis=1)[:, -k]
@@ -147,8 +151,9 @@ def best_of_block(
     top = np.abs(vectors).max(initial=0) * width
     for at in range(0, len(queries), 512):
         part = queries[at : at + 512]
-        # one more distinct vector than k, as one may belong to the query alone
-        scores, kth = visit(part, vectors, leaves, k + 1, certainty)
+        # vectors that belong to the query alone take no place
+        own_rows = only_own(q_ids[at : at + 512], ids, starts)
+        scores, kth = visit(part, vectors, leaves, k + 1, certainty, own_rows)
         for own, query, row, least in zip(q_ids[at:], part, scores, kth, strict=False):
             slack = ROUNDING * top * np.abs(query).max()
             chosen = np.flatnonzero(np.isfinite(row) & (row >= least - slack))

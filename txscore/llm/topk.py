@@ -31,6 +31,7 @@ from txscore.llm.vectors import (
     counted,
     grid,
     one_per_id,
+    only_own,
     query_rows,
     ranked,
     unpack,
@@ -71,8 +72,10 @@ def depth_bounds(
     )
 
 
-def read_lists(queries: np.ndarray, vectors: np.ndarray, k: int) -> list[np.ndarray]:
-    """For each query the rows of `vectors` that can be among its k best."""
+def read_lists(
+    queries: np.ndarray, vectors: np.ndarray, k: int, own: np.ndarray | None = None
+) -> list[np.ndarray]:
+    """For each query the rows of `vectors` that can be among its k best, `own` ones not counted."""
     n, width = vectors.shape
     if n <= k or not width:
         return [np.arange(n)] * len(queries)
@@ -86,6 +89,8 @@ def read_lists(queries: np.ndarray, vectors: np.ndarray, k: int) -> list[np.ndar
         lower, upper = depth_bounds(
             queries[open_rows], vectors, places, lists, max(1, int(np.ceil(share * n)))
         )
+        if own is not None:
+            lower[own[open_rows]] = upper[own[open_rows]] = -np.inf
         least = np.partition(lower, n - k, axis=1)[:, n - k]
         able = upper >= least[:, None]
         done = np.ones(len(open_rows), bool) if share == 1.0 else able.sum(1) <= FEW * k
@@ -118,10 +123,11 @@ def best_of_block(
     most = np.abs(vectors).max(initial=0) * max(1, width)
     for at in range(0, len(queries), QUERY_ROWS):
         part = queries[at : at + QUERY_ROWS]
-        # one more distinct vector than k, as one may belong to the query alone; beyond exact
-        # doubles bounds could be off, so there every vector is scored
+        # vectors that belong to the query alone take no place; beyond exact doubles bounds could
+        # be off, so there every vector is scored
         if np.abs(part).max(initial=0) * most * 4 < EXACT:
-            able = read_lists(part, vectors, k + 1)
+            own_rows = only_own(q_ids[at : at + QUERY_ROWS], ids, starts)
+            able = read_lists(part, vectors, k, own_rows)
         else:
             able = [np.arange(len(vectors))] * len(part)
         for own, query, rows in zip(q_ids[at:], part, able, strict=False):

@@ -141,15 +141,24 @@ def query_rows(row) -> tuple[np.ndarray, np.ndarray]:
     return unpack(row.q_ids), np.repeat(unpack(row.q_vectors), np.diff(starts), axis=0)
 
 
+def only_own(q_ids: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each query which distinct vectors no other id than its own holds."""
+    first, last = ids[starts[:-1]], ids[starts[1:] - 1]
+    return (first == last) & (first == q_ids[:, None])
+
+
 def best_ids(
     own: int, chosen: np.ndarray, scores: list, ids: np.ndarray, starts: np.ndarray, k: int
 ) -> list[tuple]:
     """The k best of (vec_id, score) among the chosen distinct vectors, without the query's own id."""
     found = []
     for row, score in zip(chosen.tolist(), scores, strict=True):
-        for vec_id in ids[starts[row] : min(starts[row + 1], starts[row] + k + 1)].tolist():
-            if vec_id != own:
-                found.append((-score, vec_id))
+        first, end = starts[row], starts[row + 1]
+        # ids ascend, so the query's own ones, however many, are one run
+        low = first + np.searchsorted(ids[first:end], own, "left")
+        high = first + np.searchsorted(ids[first:end], own, "right")
+        others = np.concatenate([ids[first : min(low, first + k)], ids[high : min(end, high + k)]])
+        found += [(-score, vec_id) for vec_id in others[:k].tolist()]
     found.sort()
     return [(vec_id, -less) for less, vec_id in found[:k]]
 
