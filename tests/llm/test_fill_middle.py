@@ -1,0 +1,97 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tests.oracle import both, connect, normal
+from txscore.llm import fill_middle, queries
+
+
+def odd_texts():
+    dice = random.Random(5)
+    bits = ["a", "\n", "\n\n", "é", "日本", "👍🏽", "<", "P>", "<P", "\r", "\x00", "line\n", " ", "<Q>", "S>"]
+    texts = ["".join(dice.choices(bits, k=dice.randrange(0, 25))) for _ in range(800)]
+    texts += ["", "\n", "x", "x\n", "\nx", "<P>", "a\n<S>\nb", "<M", "<P" + "\n" + ">", "long line\n" * 3000]
+    return texts
+
+
+def by_hand(doc_id, text, share=100, spm=50):
+    lines = re.findall(r"[^\n]*\n|[^\n]+", text)
+    digest = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(digest[i : i + 8], 16) for i in range(0, 32, 8))
+    a, b = sorted((h1 % (len(lines) + 1), h2 % (len(lines) + 1)))
+    prefix, middle, suffix = "".join(lines[:a]), "".join(lines[a:b]), "".join(lines[b:])
+    if not text or any(mark in text for mark in ("<P>", "<S>", "<M>")) or h3 % 100 >= share:
+        return len(lines), "plain", None, None, text
+    if h4 % 100 < spm:
+        return len(lines), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(lines), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+@pytest.mark.parametrize("block", [7, 1 << 20])
+@pytest.mark.parametrize("share,spm", [(100, 50), (40, 0), (100, 100)])
+def test_bytes_go_where_they_should(monkeypatch, block, share, spm):
+    monkeypatch.setattr(fill_middle, "BLOCK", block)
+    texts = odd_texts()[: 200 if block < 100 else None]
+    drawn = np.array([fill_middle.draws(i, 7) for i in range(len(texts))], np.int64)
+    places, data = fill_middle.text_bytes(pa.array(texts))
+    made = fill_middle.scatter(places, data, drawn, share, spm)
+    outputs = fill_middle.text_column(made["places"], made["out"]).to_pylist()
+    for i, text in enumerate(texts):
+        n, form, prefix, middle, output = by_hand(i, text, share, spm)
+        assert (made["n"][i], fill_middle.FORMS[made["form"][i]], outputs[i]) == (n, form, output)
+        if form != "plain":
+            assert (made["prefix_chars"][i], made["middle_chars"][i]) == (prefix, middle)
+    back = fill_middle.text_column(*fill_middle.gather(made["places"], made["out"], made["form"]))
+    assert back.to_pylist() == texts
+
+
+def test_marks_must_be_there():
+    places, data = fill_middle.text_bytes(pa.array(["no marks"]))
+    with pytest.raises(ValueError, match="marks"):
+        fill_middle.gather(places, data, np.array([1]))
+
+
+def test_slices_hold_all_rows():
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (5, 0, 30, 0, 1, 1, 12)])], ["text"])
+    parts = list(fill_middle.slices(batch, 0, 10))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == batch.column(0).to_pylist()
+    assert [p.num_rows for p in parts] == [2, 1, 3, 1]
+    # a column that starts inside its buffers
+    places, data = fill_middle.text_bytes(batch.column(0).slice(2, 3))
+    assert places.tolist() == [0, 30, 30, 31] and len(data) == 31
+
+
+def test_rows_of_a_table(spark):
+    rows = [(i, t, "extra", 1) for i, t in enumerate(odd_texts())]
+    rows += [(900, None, "extra", 1), (None, "a\nb\nc", "extra", 1), rows[3], rows[3]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, output string, n int")
+    got = fill_middle.restore(fill_middle.rearrange(docs)).collect()
+    outputs = fill_middle.rearrange(docs).collect()
+    key = repr
+    assert sorted(((r.doc_id, r.restored) for r in got), key=key) == sorted(
+        ((r[0], r[1] or "") for r in rows), key=key
+    )
+    assert sorted((tuple(r) for r in outputs), key=key) == sorted(
+        ((r[0], *by_hand(r[0], r[1] or "")) for r in rows), key=key
+    )
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    assert fill_middle.restore(fill_middle.rearrange(docs)).count() == 0
+
+
+def test_query_equals_sql_on_odd_texts(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(odd_texts()) if "\x00" not in t] + [(-3, None), (None, "a\nb")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    name = "op13_fill_middle"
+    connection = connect(str(tmp_path / "nothing"))
+    connection.execute(f"create view documents as from '{tmp_path}/documents.parquet/*.parquet'")
+    mine, theirs = both(spark, connection, str(tmp_path), queries.QUERIES[name], queries.ORACLES[name])
+    assert normal(mine) == normal(theirs) and len(mine) == len(rows)

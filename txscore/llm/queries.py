@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from txscore.llm import secrets, toxicity
 from txscore.llm.chat import format_turns, read_back
+from txscore.llm.fill_middle import rearrange, restore
 from txscore.llm.merge_pieces import encode_decode
 from txscore.llm.neighbours import nearest
 from txscore.llm.packing import pack_documents
@@ -231,3 +232,46 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined(spans).alias("spans"),
         count("model"),
     )
+
+
+@query(
+    "op13_fill_middle",
+    r"""
+with t as (
+  select doc_id, coalesce(text, '') as text,
+    sha256('7:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents),
+u as (
+  select *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') as lines,
+    list_transform([1, 9, 17, 25], lambda i: cast('0x' || substr(h, i, 8) as bigint)) as d
+  from t),
+c as (
+  select *, cast(len(lines) as bigint) as n,
+    least(d[1] % (len(lines) + 1), d[2] % (len(lines) + 1)) as a,
+    greatest(d[1] % (len(lines) + 1), d[2] % (len(lines) + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>')
+           or d[3] % 100 >= 100 then 'plain'
+         when d[4] % 100 < 50 then 'spm' else 'psm' end as form
+  from u),
+p as (
+  select *, array_to_string(lines[1:a], '') as prefix, array_to_string(lines[a + 1:b], '') as middle,
+    array_to_string(lines[b + 1:], '') as suffix
+  from c)
+select doc_id, n, form,
+  case when form <> 'plain' then length(prefix) end as prefix_chars,
+  case when form <> 'plain' then length(middle) end as middle_chars,
+  sha256(case form when 'plain' then text
+    when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from p
+""",
+)
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def digest(name: str) -> Column:
+        return F.sha2(F.col(name).cast("binary"), 256).alias(f"{name}_sha256")
+
+    moved = rearrange(table(spark, sf_dir, "documents"))
+    return restore(moved.withColumn("output_sha256", digest("output"))).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", digest("restored")
+    )
