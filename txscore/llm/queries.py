@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from txscore.llm import secrets, toxicity
 from txscore.llm.chat import format_turns, read_back
+from txscore.llm.divergence import audit
 from txscore.llm.fill_middle import rearrange, restore
 from txscore.llm.merge_pieces import encode_decode
 from txscore.llm.neighbours import nearest
@@ -234,6 +235,65 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op12_source_divergence",
+    r"""
+with d as (
+  select row_number() over () as place, coalesce(text, '') as text, coalesce(lang, '') as lang,
+    coalesce(source, '') as source
+  from documents),
+w as (
+  select place, lang, source, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from d),
+kept as (select lang, term from w group by lang, term having count(distinct place) >= 10),
+c as (
+  select lang, source, term, count(*) as n from w join kept using (lang, term)
+  group by lang, source, term),
+sizes as (
+  select l.lang, count(k.term) as v from (select distinct lang from d) l left join kept k using (lang)
+  group by l.lang),
+sources as (
+  select g.lang, g.source, coalesce(sum(c.n), 0) as total
+  from (select distinct lang, source from d) g left join c using (lang, source)
+  group by g.lang, g.source),
+wholes as (select lang, sum(total) as total from sources group by lang),
+p as (
+  select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+    1 + (1000000000::hugeint * (coalesce(c.n, 0) + 2)) // (s.total + 2 * v.v)::hugeint as p
+  from sources s join kept k using (lang) join sizes v using (lang)
+  left join c using (lang, source, term)),
+q as (
+  select k.lang, k.term,
+    1 + (1000000000::hugeint * (sum(c.n) + 2)) // any_value(h.total + 2 * v.v)::hugeint as p
+  from kept k join c using (lang, term) join sizes v using (lang) join wholes h using (lang)
+  group by k.lang, k.term),
+pairs as (
+  select a.lang, a.source, b.source as item,
+    sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) as value
+  from sources a join sources b on a.lang = b.lang and a.source <> b.source
+  left join p x on x.lang = a.lang and x.source = a.source
+  left join p y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  where x.term is null or y.term is not null
+  group by a.lang, a.source, b.source),
+terms as (
+  select p.lang, p.source, p.term as item, ((p.p - q.p) * (p.p - q.p)) // (p.p + q.p) as value
+  from p join q using (lang, term) where p.n > 0 and p.p > q.p),
+parts as (
+  select lang, source, 'pair' as part, item, coalesce(value, 0) as value from pairs
+  union all select lang, source, 'term', item, value from terms),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item) as place
+  from parts)
+select lang, source, part, item, cast(value as bigint) as value, cast(place as int) as rank
+from ranked where part = 'pair' or place <= 10
+""",
+)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op13_fill_middle",
     r"""
