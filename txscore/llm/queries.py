@@ -6,7 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import secrets, toxicity
+from txscore.llm import languages, secrets, toxicity
 from txscore.llm.chat import format_turns, read_back
 from txscore.llm.divergence import audit
 from txscore.llm.fill_middle import rearrange, restore
@@ -235,6 +235,24 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learned_from(doc_id: Column) -> Column:
+    """Documents that languages may be learned from; a quarter is held out."""
+    return F.crc32(doc_id.cast("string")) % 4 != 2
+
+
+@query("op11_language_id")
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, usable = table(spark, sf_dir, "documents"), learned_from(F.col("doc_id"))
+    found = languages.identify(docs, languages.train(docs, usable))
+    return found.select(
+        "doc_id",
+        (~usable).alias("held_out"),
+        F.col("nearest").alias("lang_pred"),
+        "score",
+        "rejected",
+    )
+
+
 @query(
     "op12_source_divergence",
     r"""
