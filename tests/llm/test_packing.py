@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from txscore.llm import packing
 from txscore.llm.chunks import parts
+from txscore.llm.queries import QUERIES
 from txscore.llm.token_ids import TokenIds
 
 VOCABULARY = path("byte_bpe_50k.json")
@@ -114,3 +115,33 @@ def test_documents_come_back_whole(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert packing.pack_documents(docs, VOCABULARY).count() == 0
+
+
+def test_query_holds_whole_documents(spark, sf_dir):
+    got = QUERIES["op1_best_fit_packing"](spark, sf_dir).toPandas()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    library = Tokenizer.from_file(VOCABULARY)
+    pieces = {doc_id: group.sort_values("piece") for doc_id, group in got.groupby("doc_id")}
+    assert len(pieces) == len(docs)
+    for doc_id, text in docs:
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        mine = pieces[doc_id]
+        starts = packing.piece_starts(len(ids), 1024)
+        ends = [*starts[1:], len(ids)]
+        assert mine.piece.tolist() == list(range(len(starts)))
+        assert mine.start.tolist() == starts and (mine.start + mine.length).tolist() == ends
+        crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
+        assert mine.ids_crc32.tolist() == crcs
+    for _, sequence in got.groupby("sequence_id"):
+        sequence = sequence.sort_values("offset")
+        assert sequence.offset.tolist() == [0, *sequence.length.cumsum().tolist()[:-1]]
+        assert sequence.length.sum() <= 1024
+    assert got.sequence_id.nunique() <= 1.02 * np.ceil(got.length.sum() / 1024) + 1
+
+
+def test_run_of_pieces_is_dealt_out_by_bytes():
+    ids = TokenIds(VOCABULARY)
+    pieces = [" naïve", "\nword", " 日本語", " x<|endoftext|>y", " a"] * 300
+    assert ids._encode_run(pieces) == ids._encode(pieces)
+    with pytest.raises(RuntimeError, match="across"):
+        ids._encode_run([" wo", "rd"])

@@ -1,4 +1,4 @@
-"""Texts cut where no token can reach across, so that every piece is encoded once and looked up.
+"""Texts cut where no token can reach across, so that a piece is encoded once and looked up.
 
 A text is cut before each single space or line feed that stands between two characters that are
 not white space. A tokenizer for which such places are always token boundaries gives for the
@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from typing import Generic, TypeVar
 
-V = TypeVar("V")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 # pieces in the present table of a process, and at most as many in the old one
-KNOWN = 300_000
+KNOWN = 200_000
 # characters of texts that are looked up together, so that what is new is encoded in one go
 TOGETHER = 4 << 20
 # longer pieces are rare and are not remembered
@@ -25,6 +26,8 @@ LONG = 64
 PART = 1 << 20
 
 _SAFE = re.compile(r"(?<=\S)(?=[ \n]\S)")
+# what may be the last character of a piece behind which is no safe place; none at all is one, too
+_WHITE = pa.array(["", *(chr(i) for i in range(0x3001) if chr(i).isspace())], pa.large_string())
 
 
 def parts(text: str, size: int = PART) -> Iterator[str]:
@@ -39,23 +42,30 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
     yield text[start:]
 
 
-class Lookup(Generic[V]):
-    """`encode` maps many pieces at once; `cut_end` may say where a new piece can be cut again."""
+class Lookup:
+    """Packed 32-bit ids of texts. `encode` maps many pieces at once; `cut_end` may say where a new
+    piece can be cut again. `encode_run` may do better for pieces that could follow one another in a
+    text: each begins with its space or line feed and ends with what is not white space.
+
+    The pieces of many texts are cut and told apart by Arrow, so only distinct ones are looked up one
+    by one; numpy gathers their ids in the order of the texts.
+    """
 
     def __init__(
         self,
-        encode: Callable[[list[str]], list[V]],
-        join: Callable[[V, V], V],
+        encode: Callable[[list[str]], list[bytes]],
         cut_end: Callable[[str], int] | None = None,
         known: int = KNOWN,
+        encode_run: Callable[[list[str]], list[bytes]] | None = None,
     ) -> None:
-        self._encode, self._join, self._cut_end, self._limit = encode, join, cut_end, known
-        self._known: dict[str, V] = {}
-        self._old: dict[str, V] = {}
+        self._encode, self._cut_end, self._limit = encode, cut_end, known
+        self._encode_run = encode_run or encode
+        self._known: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
-    def many(self, texts: list[str]) -> list[list[V]]:
-        """Values of the pieces of each text, in order."""
-        found: list[list[V]] = [[] for _ in texts]
+    def many(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
+        found: list[list[bytes]] = [[] for _ in texts]
         owners: list[int] = []
         group: list[str] = []
         size = 0
@@ -68,40 +78,64 @@ class Lookup(Generic[V]):
                     owners.append(i)
                     group.append(part)
                     size += len(part)
-        self._add(group, owners, found)
-        return found
+        if group:
+            self._add(group, owners, found)
+        return [values[0] if len(values) == 1 else b"".join(values) for values in found]
 
-    def _add(self, group: list[str], owners: list[int], found: list[list[V]]) -> None:
+    def _add(self, group: list[str], owners: list[int], found: list[list[bytes]]) -> None:
         # a piece stands in the table without its space; one after a line feed keeps that
-        cuts = []
-        for part in group:
-            head, *rest = part.replace("\n", " \n").split(" ")
-            if head == "" and rest:
-                # the part begins with its space or line feed, which is safe at the start of a part
-                head, *rest = rest
-                head = head if head.startswith("\n") else " " + head
-            cuts.append((head, rest))
+        cut = pc.split_pattern(pc.replace_substring(pa.array(group, pa.large_string()), "\n", " \n"), " ")
+        begin, end = cut.offsets.to_numpy()[:-1], cut.offsets.to_numpy()[1:]
+        told_apart = cut.values.dictionary_encode()
+        codes, pieces = told_apart.indices.to_numpy().astype(np.int64), told_apart.dictionary
+        last = pc.utf8_slice_codeunits(pieces, -1)
+        white = pc.is_in(last, value_set=_WHITE).to_numpy(zero_copy_only=False)
+        # a part that begins with its space or line feed has an empty head, which is safe there; any
+        # other head has no space before it, and a value of its own
+        lone = (pc.binary_length(pieces).to_numpy() == 0)[codes[begin]] & (end - begin > 1)
+        heads, head_of = np.unique(codes[begin[~lone]], return_inverse=True)
+        # the place behind a piece is safe if the piece ends with what is not white space
+        unsafe = white[codes]
+        unsafe[end - 1] = False
+        unsafe[begin[lone]] = False
+        slow = np.add.reduceat(unsafe, begin) > 0
+        inner = np.ones(len(codes), bool)
+        inner[begin] = False
+        used = np.zeros(len(pieces), bool)
+        used[codes[inner]] = True
         if len(self._known) > self._limit:
             self._old, self._known = self._known, {}
         known = self._known
-        new = set().union(*(rest for _, rest in cuts)).difference(known)
-        unsafe = {piece for piece in new if piece == "" or piece[-1].isspace()}
-        self._learn(new.difference(unsafe))
-        heads = list({head for head, _ in cuts})
-        head_values = dict(zip(heads, self._encode(heads), strict=True))
-        for i, part, (head, rest) in zip(owners, group, cuts, strict=True):
-            if head[-1:].isspace() or not unsafe.isdisjoint(rest):
+        wanted = _strings(pieces.filter(pa.array(used)))
+        odd = set(_strings(pieces.filter(pa.array(used & white))))
+        new = set(wanted).difference(known)
+        self._learn(new.difference(odd))
+        known.update((p, value) for p, value in zip(odd, self._encode([_spaced(p) for p in odd]), strict=True))
+        values = list(map(known.__getitem__, wanted))
+        for piece in odd | {p for p in new if len(p) > LONG}:
+            del known[piece]
+        values += self._encode(_strings(pieces.take(pa.array(heads))))
+        values.append(b"")
+        codes = (np.cumsum(used) - 1)[codes]
+        codes[begin[~lone]] = len(wanted) + head_of
+        codes[begin[lone]] = len(values) - 1
+        ids = np.frombuffer(b"".join(values), np.uint32)
+        lengths = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        starts = np.cumsum(lengths) - lengths
+        n = lengths[codes]
+        ahead = np.cumsum(n) - n
+        flat = ids[np.repeat(starts[codes] - ahead, n) + np.arange(n.sum())]
+        bounds = np.append(ahead[begin], len(flat)).tolist()
+        for i, part, low, high, again in zip(owners, group, bounds, bounds[1:], slow.tolist(), strict=False):
+            if again:
                 found[i] += self._encode(_SAFE.split(part))
             else:
-                found[i].append(head_values[head])
-                found[i] += [known[piece] for piece in rest]
-        for piece in new.difference(unsafe):
-            if len(piece) > LONG:
-                del known[piece]
+                found[i].append(flat[low:high].tobytes())
 
     def _learn(self, new: set[str]) -> None:
+        """Pieces that end with what is not white space."""
         known, old = self._known, self._old
-        met = [piece for piece in new if piece in old]
+        met = new.intersection(old)
         known.update((piece, old[piece]) for piece in met)
         new = new.difference(met)
         ends = {}
@@ -109,10 +143,17 @@ class Lookup(Generic[V]):
             ends = {p: at for p in new if 0 < (at := self._cut_end(p)) < len(p)}
         heads = {piece[:at] for piece, at in ends.items()}
         whole = list(new.difference(ends) | heads.difference(known))
-        texts = [piece if piece.startswith("\n") else " " + piece for piece in whole]
-        known.update(zip(whole, self._encode(texts), strict=True))
+        known.update(zip(whole, self._encode_run([_spaced(piece) for piece in whole]), strict=True))
         if ends:
             tails = list({piece[at:] for piece, at in ends.items()})
             tail_values = dict(zip(tails, self._encode(tails), strict=True))
             for piece, at in ends.items():
-                known[piece] = self._join(known[piece[:at]], tail_values[piece[at:]])
+                known[piece] = known[piece[:at]] + tail_values[piece[at:]]
+
+
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()  # many times as fast as to_pylist
+
+
+def _spaced(piece: str) -> str:
+    return piece if piece[:1] == "\n" else " " + piece

@@ -210,7 +210,7 @@ class PieceIds:
 
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
         self.agenda = Agenda(self.processor)
-        self._lookup = Lookup(self._encode, lambda a, b: a + b, self._cut_end)
+        self._lookup = Lookup(self._encode, self._cut_end)
 
     def _cut_end(self, piece: str) -> int:
         """Before a last character that never follows the one before it in a piece."""
@@ -228,7 +228,7 @@ class PieceIds:
 
     def many(self, texts: list[str]) -> list[bytes]:
         marked = [" " + text.replace(MARK, " ") if text else "" for text in texts]
-        return [b"".join(values) for values in self._lookup.many(marked)]
+        return self._lookup.many(marked)
 
 
 @lru_cache(maxsize=4)
