@@ -2,7 +2,7 @@
 
 Toxic documents go, one document of each near-duplicate component stays, secrets in the texts are
 replaced by a mark, and what is left is packed into sequences of 1024 tokens. Near-duplicates are
-texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+texts whose SimHash fingerprints over three-word shingles are linked by at most two differing bits.
 
 Cases: a null text is empty to every stage, and stays null until it is packed; a row with a null
 id stands behind the others of its component. An empty table gives an empty result. Columns beyond
@@ -17,7 +17,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txscore.llm import minhash, packing, secrets, toxicity
+from txscore.llm import packing, secrets, simhash, toxicity
 from txscore.llm.queries import held_out
 from txscore.session import new_folder
 
@@ -32,7 +32,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the least id."""
-    return minhash.one_of_each(docs)
+    return simhash.one_of_each(docs, words=3)
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
