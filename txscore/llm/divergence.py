@@ -321,14 +321,13 @@ def audit(
         values, "lang string, source string, part string, item string, value long"
     )
     # a term stands in one chunk, so its sum is itself
-    summed = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
-    there = F.struct("source", "item")
-    back = F.struct(F.col("item").alias("source"), F.col("source").alias("item"))
-    ways = F.when(F.col("part") == "pair", F.array(there, back)).otherwise(F.array(there))
-    both = summed.select("lang", "part", "value", F.explode(ways).alias("way"))
-    order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    return (
-        both.select("lang", "way.source", "part", "way.item", "value")
-        .withColumn("rank", F.row_number().over(order))
-        .filter((F.col("part") == "pair") | (F.col("rank") <= top))
-    )
+    summed = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")).checkpoint()
+    pairs = summed.filter(F.col("part") == "pair")
+    back = pairs.select("lang", F.col("item").alias("source"), "part", F.col("source").alias("item"), "value")
+    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
+    ranked = [
+        rows.withColumn("rank", F.row_number().over(order))
+        for rows in (pairs.unionAll(back), summed.filter(F.col("part") == "term"))
+    ]
+    # every task cuts its terms to `top` of a group before they meet
+    return ranked[0].unionAll(ranked[1].filter(F.col("rank") <= top))
