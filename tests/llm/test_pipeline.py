@@ -122,4 +122,4 @@ def test_empty_tables(spark, tables, tmp_path):
 def test_all_are_registered():
     names = driver.queries()
     assert "pipeline" in names
-    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 11))
+    assert all(sum(name.startswith(f"op{n}_") for name in names) == 1 for n in range(1, 14))

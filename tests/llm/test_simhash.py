@@ -108,3 +108,17 @@ def test_query_equals_brute_force(spark, sf_dir):
 def test_hex_of_negative_numbers(spark):
     rows = spark.createDataFrame([(-1,), (10,)], "bits long").select(simhash.as_hex(F.col("bits")))
     assert [r[0] for r in rows.collect()] == ["f" * 16, "000000000000000a"]
+
+
+def test_one_of_each_tells_texts_of_one_id_apart(spark):
+    far = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, "a b c d e", 1), (5, far, 2), (3, "a b c d e", 3), (9, far.upper(), 4), (None, far, 5),
+            (None, "only here " * 9, 6), (3, "a b c d e", 3), (3, "a b c d e", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_0 int")
+    kept = simhash.one_of_each(docs).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted(
+        [(3, "a b c d e"), (5, far), (0, "only here " * 9)]
+    )
+    assert kept[0].asDict().keys() == {"doc_id", "text", "row_0"}
+    again = simhash.one_of_each(docs.repartition(5)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, kept))

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -216,21 +216,25 @@ def one_of_each(
 ) -> DataFrame:
     """The documents, all columns: of each component the row with the least id.
 
-    A row with a null id stands behind all others and is known by its text. Of rows with the same
-    id one stays. `docs` has whole numbers below 2**62 as ids.
+    A row is named by its id and a hash of its text, so rows that share an id but not the text are
+    told apart; a row with a null id stands behind all others. Of rows with the same id and text the
+    first by a hash of all columns stays. `docs` has whole numbers of less than 2**62 as ids.
     """
-    behind = F.lit(1 << 62) + F.pmod(F.xxhash64(F.coalesce(text_column, F.lit(""))), F.lit(1 << 61))
-    name = "dedup_row_id"
-    rows = docs.withColumn(name, F.coalesce(F.col(id_column).cast("long"), behind))
+    name = next(n for i in range(len(docs.columns) + 1) if (n := f"row_{i}") not in docs.columns)
+    wide = F.lit(str(1 << 64)).cast("decimal(20,0)")
+    behind = F.coalesce(F.col(id_column).cast("long"), F.lit(1 << 62)).cast("decimal(19,0)") * wide
+    own = F.xxhash64(F.coalesce(text_column, F.lit(""))).cast("decimal(20,0)")
+    rows = docs.withColumn(name, (behind + own).cast("decimal(38,0)"))
     found = near_duplicates(rows, words, id_column=name, text_column=text_column)
     ids = (
         found.groupBy(name)
-        .agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
-        .filter((F.col(name) != F.col("component_id")) | (F.col("n") > 1))
+        .agg(F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n"))
+        .filter((F.col(name) != F.col("component")) | (F.col("n") > 1))
         .checkpoint()
     )
     # most documents are neither a copy nor repeated and are only looked up
-    alone = rows.join(ids, name, "left_anti")
-    repeated = ids.filter(F.col(name) == F.col("component_id"))
-    once = rows.join(repeated, name, "left_semi").dropDuplicates([name])
-    return alone.unionByName(once).drop(name)
+    alone = rows.join(ids.select(name), name, "left_anti")
+    repeated = ids.filter(F.col(name) == F.col("component")).select(name)
+    first = Window.partitionBy(name).orderBy(F.xxhash64(*docs.columns))
+    once = rows.join(repeated, name, "left_semi").withColumn("_place", F.row_number().over(first))
+    return alone.unionByName(once.filter("_place = 1").drop("_place")).drop(name)
