@@ -16,6 +16,7 @@ from txscore.operators.latest import latest_by_key
 from txscore.operators.offsets import max_offset_per_partition, start_position
 from txscore.operators.history import clean_transactions
 from txscore.plans import load_history as load
+from txscore.plans.merge_tables import fold_payments
 from txscore.plans.replay import encode_payments, replay
 from txscore.schemas import CUSTOMER_CSV, CUSTOMER_TABLE, TRANSACTION_CSV
 from txscore.functions import zone_text
@@ -108,8 +109,16 @@ _OUTCOMES = (
       then t.transaction_time end as transaction_time,
     t.category, t.merchant_name, {_unless_broken('amount')} as amount,
     {_unless_broken('merchant_latitude')} as merchant_latitude, t.merchant_longitude,
-    {_unless_broken('is_fraud')} as is_fraud
-  from cleaned t),
+    {_unless_broken('is_fraud')} as is_fraud,
+    case when cast(t.transaction_number as bigint) % {_BREAKS['amount']} = 0
+           or cast(t.transaction_number as bigint) % {_BREAKS['merchant_latitude']} = 0
+      then concat_ws(',', coalesce({_unless_broken('card_number')}, ''), r.transaction_number,
+        coalesce(case when cast(t.transaction_number as bigint) % {_BREAKS['transaction_date']} <> 0
+          then r.transaction_date end, ''), r.transaction_time, r.unix_time, r.category, r.merchant_name,
+        coalesce(cast({_unless_broken('amount')} as varchar), 'x'),
+        coalesce(cast({_unless_broken('merchant_latitude')} as varchar), 'nan?'), r.merchant_longitude,
+        coalesce(cast({_unless_broken('is_fraud')} as varchar), '')) end as raw_line
+  from cleaned t join transactions_raw r on t.transaction_number = r.transaction_number),
 outcomes as (
   select t.*, case when t.card_number is null then 'missing_card'
     when t.transaction_time is null then 'bad_time' when t.amount is null then 'bad_amount'
@@ -131,7 +140,7 @@ def load_rejects(spark, sf_dir):
 @query(
     "load_report",
     _OUTCOMES
-    + "select coalesce(reject_reason, 'stored') as outcome, count(*) as n from outcomes group by all",
+    + "select coalesce(reject_reason, 'stored') as outcome, count(*) as n from outcomes group by 1",
 )
 def load_report(spark, sf_dir):
     """What the load says of its input: stored or rejected, and why."""
@@ -141,6 +150,82 @@ def load_report(spark, sf_dir):
     return spark.createDataFrame(rows, "outcome string, n long")
 
 
+@query(
+    "malformed_lines",
+    with_views("transactions_raw")
+    + """select case when n % 2 = 0 then card_number || ',' || transaction_number || ',' || transaction_date
+         else concat_ws(',', card_number, transaction_number, transaction_date, transaction_time, unix_time,
+           category, merchant_name, amount, merchant_latitude, merchant_longitude, is_fraud, '"a,b"') end
+         as raw_line, 'malformed_csv' as reject_reason
+from (select *, cast(transaction_number as bigint) as n from transactions_raw) where n % 31 = 0""",
+)
+def malformed_lines(spark, sf_dir):
+    """Lines with too few and with too many fields among good ones, as the load rejects them."""
+    cfg = history_settings(spark, sf_dir)
+    rows = view(spark, sf_dir, "transactions_raw")
+    n = F.col("transaction_number").cast("long")
+    short = F.concat_ws(",", "card_number", "transaction_number", "transaction_date")
+    long = F.concat_ws(",", *[F.col(c).cast("string") for c in rows.columns], F.lit('"a,b"'))
+    lines = rows.filter(n % 31 == 0).select(F.when(n % 2 == 0, short).otherwise(long).alias("value"))
+    # a file of text begins with the names, as every file of the history does
+    header = spark.range(1).select(F.lit(",".join(rows.columns)).alias("value"))
+    header.unionAll(lines).coalesce(1).write.mode("append").text(cfg.transaction_csv)
+    load.load_customers(spark, cfg, "first", F.to_date(F.lit(AS_OF)))
+    rejects = load.history_rejects(spark, cfg)
+    return rejects.filter("reject_reason = 'malformed_csv'").select("raw_line", "reject_reason")
+
+
+def _amounts(spark, cfg, rows, *factors):
+    """One file that holds every payment once per factor, its amount multiplied, in that order."""
+    copies = [
+        rows.withColumns({"amount": F.col("amount") * f, "copy": F.lit(i)}) for i, f in enumerate(factors)
+    ]
+    both = copies[0]
+    for more in copies[1:]:
+        both = both.unionAll(more)
+    (
+        both.repartition(1).sortWithinPartitions("copy").drop("copy")
+        .write.mode("overwrite").option("header", True).csv(cfg.transaction_csv)
+    )
+
+
+_CURRENT = "select transaction_number, amount, run_id, is_fraud from"
+
+
+@query(
+    "upsert_repeats_in_one_load",
+    with_views("history")
+    + f"{_CURRENT} (select * replace (amount * 4 as amount), 'second' as run_id from history)",
+)
+def upsert_repeats_in_one_load(spark, sf_dir):
+    """A file that holds every payment three times, loaded three times: its last rows stay."""
+    cfg = history_settings(spark, sf_dir)
+    _amounts(spark, cfg, view(spark, sf_dir, "transactions_raw"), 1, 2, 4)
+    for load_id in ("first", "first", "second"):
+        load.load_history(spark, cfg, load_id, F.to_date(F.lit(AS_OF)))
+    return current_scored(spark, cfg).select("transaction_number", "amount", "run_id", "is_fraud")
+
+
+@query(
+    "upsert_after_compaction",
+    with_views("history")
+    + f"""{_CURRENT} (select * replace (
+        case when cast(transaction_number as bigint) % 3 = 0 then amount * 2 else amount end as amount),
+      case when cast(transaction_number as bigint) % 3 = 0 then 'second' else 'first' end as run_id
+    from history)""",
+)
+def upsert_after_compaction(spark, sf_dir):
+    """A load folded into the base, then a third of the payments written again beside it."""
+    cfg = history_settings(spark, sf_dir)
+    rows = view(spark, sf_dir, "transactions_raw")
+    load.load_customers(spark, cfg, "first", F.to_date(F.lit(AS_OF)))
+    load.load_transactions(spark, cfg, "first")
+    fold_payments(spark, cfg, always=True)
+    _amounts(spark, cfg, rows.filter(F.col("transaction_number").cast("long") % 3 == 0), 1, 2)
+    load.load_transactions(spark, cfg, "second")
+    return current_scored(spark, cfg).select("transaction_number", "amount", "run_id", "is_fraud")
+
+
 @query(
     "load_twice_two_ids",
     with_views("history") + f"select {SCORED_SQL}, is_fraud, 'second/2' as run_id from history",
@@ -249,6 +334,26 @@ def starting_offsets_json(spark, sf_dir):
     return start_position(view(spark, sf_dir, "payments_json"), "payments")
 
 
+@query(
+    "starting_offsets_new_partition",
+    with_views("payments_json")
+    + """, done as (select partition, max("offset") + 1 as next_offset from payments_json
+              where partition <> 1 group by partition),
+starts as (select p.partition, coalesce(next_offset, -2) as next_offset
+           from (select distinct partition from payments_json) p left join done using (partition))
+select '{"payments":{' || string_agg('"' || partition || '":' || next_offset, ',' order by partition)
+         || '}}' as starting_offsets,
+       '{"payments":[' || string_agg(cast(partition as string), ',' order by partition) || ']}'
+         as assigned
+from starts""",
+)
+def starting_offsets_new_partition(spark, sf_dir):
+    """A partition that has no stored position starts at its first record."""
+    records = view(spark, sf_dir, "payments_json")
+    stored = records.filter("partition <> 1")
+    return start_position(stored, "payments", records.select("partition"))
+
+
 # the payment columns at the positions of the replay file, filler elsewhere
 _REPLAY_LAYOUT = [
     "card_number",

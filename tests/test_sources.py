@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txscore.operators.columns import rename_columns
-from txscore.operators.offsets import start_position
+from txscore.operators.offsets import LATEST, start_position
 from txscore.schemas import CUSTOMER_CSV, OFFSETS, SCORED
 from txscore.settings import Settings
 from txscore.sources.csv import read_csv, read_replay_csv
@@ -183,7 +183,7 @@ def test_source_by_topic(cfg):
 
 
 def test_source_from_stored_offsets(spark, cfg):
-    stored = spark.createDataFrame([(0, 5), (10, 7), (2, 9), (0, 8)], OFFSETS)
+    stored = spark.createDataFrame([(cfg.topic, 0, 5), (cfg.topic, 10, 7), (cfg.topic, 2, 9), (cfg.topic, 0, 8)], OFFSETS)
     position = start_position(stored, cfg.topic).first()
     options = source_options(cfg, position["starting_offsets"], position["assigned"])
     assert options["startingOffsets"] == '{"payments":{"0":9,"2":10,"10":8}}'
@@ -191,6 +191,17 @@ def test_source_from_stored_offsets(spark, cfg):
     assert "subscribe" not in options
 
 
+def test_new_partitions_get_a_start(spark, cfg):
+    stored = spark.createDataFrame([(cfg.topic, 0, 5), (cfg.topic, 7, 1)], OFFSETS)
+    now = spark.createDataFrame([(0,), (1,), (2,)], "partition int")
+    position = start_position(stored, cfg.topic, now).first()
+    assert position["starting_offsets"] == '{"payments":{"0":6,"1":-2,"2":-2,"7":2}}'
+    options = source_options(cfg, position["starting_offsets"])
+    assert options["subscribe"] == "payments" and "assign" not in options
+    latest = start_position(stored, cfg.topic, now, LATEST).first()
+    assert latest["starting_offsets"] == '{"payments":{"0":6,"1":-1,"2":-1,"7":2}}'
+
+
 def test_no_stored_offsets_no_position(spark, cfg):
     assert start_position(spark.createDataFrame([], OFFSETS), cfg.topic).first() is None
 

@@ -16,16 +16,18 @@ from txscore.operators.enrich import (
 from txscore.operators.history import with_customer_age
 from txscore.operators.routing import class_counts
 from txscore.plans.train_models import TrainingOptions, train
-from txscore.schemas import CUSTOMER_TABLE, MODEL_COLUMNS, SCORED_COLUMNS
+from txscore.schemas import CUSTOMER_TABLE, MODEL_COLUMNS, OFFSETS, SCORED_COLUMNS
 from txscore.settings import Settings
+from txscore.sources.manifest import commit
 from txscore.sources.models import save_models
 from txscore.sources.tables import (
-    append_table,
     read_class,
     read_scored,
     read_snapshot,
     upsert_snapshot,
+    write_part,
 )
+from txscore.streaming import scoring
 from txscore.streaming.scoring import (
     ForestScorer,
     SnapshotSize,
@@ -117,15 +119,27 @@ def test_repeated_batch_leaves_one_copy(spark, cfg, inbox):
     assert stored_offsets(spark, cfg).count() == 3
 
 
-def test_failure_between_writes_is_made_good(spark, cfg, inbox):
-    """The stream dies after the payments of a batch are stored; the restart repeats the batch."""
-    broken = replace(cfg, reject_table="rejects/\0")
-    with pytest.raises(Exception):
-        run(spark, broken, watch(spark, inbox))
-    assert read_scored(spark, cfg).count() > 0 and stored_offsets(spark, cfg).count() == 0
+@pytest.mark.parametrize("step", ["scored_part", "write_part", "second write_part", "commit"])
+def test_failure_between_writes_leaves_nothing(spark, cfg, inbox, monkeypatch, step):
+    """The stream dies before one of its writes; no reader sees half a batch, the restart repeats it."""
+    calls, name = [], step.split()[-1]
+    real = getattr(scoring, name)
+
+    def broken(*args, **more):
+        calls.append(args)
+        if len(calls) == (2 if step.startswith("second") else 1):
+            raise RuntimeError("lost")
+        return real(*args, **more)
+
+    monkeypatch.setattr(scoring, name, broken)
+    with pytest.raises(Exception, match="lost"):
+        run(spark, cfg, watch(spark, inbox))
+    assert read_scored(spark, cfg).count() == read_rejects(spark, cfg).count() == 0
+    assert stored_offsets(spark, cfg).count() == 0
+    monkeypatch.setattr(scoring, name, real)
     run(spark, cfg, watch(spark, inbox))
     total = read_scored(spark, cfg).count() + read_rejects(spark, cfg).count()
-    assert total == spark.read.parquet(inbox).count()
+    assert total == spark.read.parquet(inbox).count() and stored_offsets(spark, cfg).count() == 3
 
 
 @pytest.mark.parametrize("limit", [5_000, 10])
@@ -217,10 +231,12 @@ def test_stream_output_is_compact(spark, cfg, inbox):
 def test_topic_needs_the_connector(spark, cfg):
     """No connector is bundled, so the topic path can be followed only up to the source."""
     assert not has_checkpoint(spark, cfg)
-    position = spark.createDataFrame([(0, 5, "r", 0)], "partition int, offset long, run_id string, batch_id long")
-    append_table(position, cfg, cfg.offset_table)
     with pytest.raises(Exception, match="(?i)kafka"):
         topic_records(spark, cfg)
+    position = spark.createDataFrame([(cfg.topic, 0, 5)], OFFSETS)
+    commit(spark, cfg, [write_part(position, cfg, cfg.offset_table, "topic")])
+    with pytest.raises(Exception, match="(?i)kafka|JavaPackage"):
+        topic_records(spark, cfg)
 
 
 def test_checkpoint_is_found(spark, cfg, inbox):

@@ -124,6 +124,7 @@ def parse_payments(records: DataFrame, source_zone: str = "UTC") -> DataFrame:
 # why a payment is not stored, in the order in which the reasons count
 REASONS = [
     "malformed_json",
+    "malformed_csv",
     "missing_card",
     "bad_time",
     "bad_amount",

@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# when the file of a row was written
-STORED_AT = "stored_at"
+# the number of the commit that stored a row
+SEQUENCE = "sequence"
 
 
-def latest_by_key(df: DataFrame, key: str, *newest_first: Column) -> DataFrame:
+def latest_by_key(df: DataFrame, key: str | list[str], *newest_first: Column) -> DataFrame:
     """One row per key, the first in the given order; the order must be total to be repeatable.
 
     Spark keeps the first row of each key in every task before the shuffle, so a key with many
@@ -20,14 +20,16 @@ def latest_by_key(df: DataFrame, key: str, *newest_first: Column) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
 
 
-def latest_scored(stored: DataFrame) -> DataFrame:
-    """One row per transaction number of stored payments: the last write wins.
+def latest_scored(stored: DataFrame, *more: str) -> DataFrame:
+    """One row per transaction number (and `more`) of stored payments: the last write wins.
 
-    Later is what was written later, then the higher batch; ties go by the other columns, so that
+    Later is what was committed later, then the higher batch; ties go by the other columns, so that
     the choice repeats. Rows without a number have no key and all stay.
     """
     key = "transaction_number"
-    first = [c for c in (STORED_AT, "batch_id") if c in stored.columns]
-    order = [*first, *[c for c in stored.columns if c not in (key, *first)]]
-    keyed = latest_by_key(stored.filter(F.col(key).isNotNull()), key, *[F.col(c).desc() for c in order])
+    first = [c for c in (SEQUENCE, "batch_id") if c in stored.columns]
+    order = [*first, *[c for c in stored.columns if c not in (key, *first, *more)]]
+    keyed = latest_by_key(
+        stored.filter(F.col(key).isNotNull()), [key, *more], *[F.col(c).desc() for c in order]
+    )
     return keyed.unionByName(stored.filter(F.col(key).isNull()))

@@ -10,21 +10,47 @@ def max_offset_per_partition(records: DataFrame) -> DataFrame:
     return records.groupBy("partition").agg(F.max("offset").alias("offset"))
 
 
-def start_position(offsets: DataFrame, topic: str) -> DataFrame:
+# what the source takes for the first and the next record of a partition
+EARLIEST, LATEST = -2, -1
+
+
+def starts_by_partition(
+    offsets: DataFrame, partitions: DataFrame, new_start: int = EARLIEST
+) -> DataFrame:
+    """(partition, start, is_stored) of stored (partition, offset) and of all partitions of the topic.
+
+    Stored is the last offset done, so the start is the one after it. A partition without one was
+    added since: nobody has read it, so by default it is read from its first record. One that is
+    stored but no longer listed stays, so that the source says it is gone.
+    """
+    listed = partitions.select("partition").distinct()
+    return max_offset_per_partition(offsets).join(listed, "partition", "full").select(
+        "partition",
+        F.coalesce(F.col("offset") + 1, F.lit(new_start)).alias("start"),
+        F.col("offset").isNotNull().alias("is_stored"),
+    )
+
+
+def start_position(
+    offsets: DataFrame,
+    topic: str,
+    partitions: DataFrame | None = None,
+    new_start: int = EARLIEST,
+) -> DataFrame:
     """One row: where to go on, and which partitions, as the JSON that the source expects.
 
-    Stored is the last offset done, so the start is the one after it. Both are null if nothing
-    is stored yet.
+    `partitions` are those that the topic has now. No row if nothing is stored yet.
     """
-    done = F.sort_array(F.collect_list(F.struct("partition", "offset")))
+    listed = offsets if partitions is None else partitions
+    starts = F.sort_array(F.collect_list(F.struct("partition", "start")))
+    found = starts_by_partition(offsets, listed, new_start).agg(
+        starts.alias("starts"), F.count_if("is_stored").alias("n_stored")
+    )
     by_partition = F.map_from_entries(
-        F.transform(
-            F.col("done"), lambda p: F.struct(p["partition"].cast("string"), p["offset"] + 1)
-        )
+        F.transform("starts", lambda p: F.struct(p["partition"].cast("string"), p["start"]))
     )
-    partitions = F.transform(F.col("done"), lambda p: p["partition"])
-    stored = max_offset_per_partition(offsets).agg(done.alias("done")).filter(F.size("done") > 0)
-    return stored.select(
+    every = F.transform("starts", lambda p: p["partition"])
+    return found.filter("n_stored > 0").select(
         F.to_json(F.create_map(F.lit(topic), by_partition)).alias("starting_offsets"),
-        F.to_json(F.create_map(F.lit(topic), partitions)).alias("assigned"),
+        F.to_json(F.create_map(F.lit(topic), every)).alias("assigned"),
     )

@@ -14,6 +14,7 @@ from txscore.operators import balance, features
 from txscore.operators.evaluate import quality
 from txscore.operators.forest import DEPTH, MAX_BINS, TREES, fit_forest
 from txscore.operators.splits import TRAIN_SHARE, in_training, random_split
+from txscore.plans.merge_tables import fold_payments
 from txscore.schemas import MODEL_COLUMNS
 from txscore.settings import Settings
 from txscore.sources.models import save_models
@@ -158,6 +159,7 @@ def train_models(
     options: TrainingOptions = TrainingOptions(),
 ) -> DataFrame:
     """Retrain on all payments stored so far, each once as last written, save under the version, return the metrics row."""
+    fold_payments(spark, cfg)
     stored = current_scored(spark, cfg, options.label_sources)
     trained = train(training_rows(stored), options)
     metrics = trained.metrics.select(F.lit(version).alias("version"), "*")

@@ -59,7 +59,7 @@ SCORED = T.StructType([
     T.StructField("age_at_transaction", T.IntegerType()),
 ])
 
-# folders of the scored table, outermost first
+# what is stored with a payment; is_fraud is a folder of each part
 SCORED_SLICES = T.StructType([
     T.StructField("label_source", T.StringType()),
     T.StructField("run_id", T.StringType()),
@@ -67,6 +67,12 @@ SCORED_SLICES = T.StructType([
     T.StructField("is_fraud", T.IntegerType()),
 ])
 
+# columns of stored payments that say which write they come from, if they were merged
+MERGED = T.StructType([
+    T.StructField("sequence", T.LongType()),
+    T.StructField("is_current", T.BooleanType()),
+])
+
 REJECTS = T.StructType([
     T.StructField("value", T.StringType()),
     T.StructField("partition", T.IntegerType()),
@@ -75,6 +81,7 @@ REJECTS = T.StructType([
 ])
 
 OFFSETS = T.StructType([
+    T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
 ])

@@ -67,3 +67,56 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Asks the file system, so that a missing folder is no failed load in the log."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    place, files = _file_system(spark, folder)
+    if not files.exists(place):
+        return []
+    return [found.getPath().getName() for found in files.listStatus(place)]
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    place, files = _file_system(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole or not at all; false if there is one already, which then stays."""
+    folder, _, name = path.rpartition("/")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    half, files = _file_system(spark, f"{folder}/.{uuid.uuid4().hex}-{name}")
+    stream = files.create(half, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    # a rename that never overwrites, which a plain file system's own rename does not promise
+    never = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    whole = files.makeQualified(place)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole.toUri(), conf).rename(
+            files.makeQualified(half), whole, never
+        )
+    except Exception:
+        files.delete(half, False)
+        if files.exists(place):
+            return False
+        raise
+    return True
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    place, files = _file_system(spark, path)
+    files.delete(place, True)

@@ -29,6 +29,10 @@ class Settings:
     metric_table: str = "model_metrics"
     version_table: str = "versions"
 
+    # parts that a table may gather before they are merged, and folders of the merged payments
+    merge_after: int = 16
+    buckets: int = 8
+
     # models
     preprocessor_path: str = ""
     forest_path: str = ""

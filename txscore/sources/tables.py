@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txscore.operators.latest import STORED_AT, latest_by_key, latest_scored
-from txscore.schemas import SCORED, SCORED_SLICES, VERSIONS
-from txscore.session import path_exists
+from txscore.operators.latest import SEQUENCE, latest_by_key, latest_scored
+from txscore.schemas import MERGED, SCORED, SCORED_SLICES, VERSIONS
+from txscore.session import BROADCAST_LIMIT, path_exists
 from txscore.settings import Settings
+from txscore.sources.manifest import BASE, Part, commit, new_part_folder, newest
 
 CLASSES = (0, 1)
 LABEL_SOURCES = ("loaded", "predicted")
@@ -95,6 +96,65 @@ def replace_slice(
     )
 
 
+# bytes that a key takes in a hash table, on the generous side
+KEY_BYTES = 160
+
+
+def write_part(
+    df: DataFrame,
+    cfg: Settings,
+    table: str,
+    key: str,
+    partition_by: tuple[str, ...] = (),
+    **about: object,
+) -> Part:
+    """Write a folder of its own, which is not live before it is committed. Repeats do no harm."""
+    folder = new_part_folder()
+    path = f"{table_path(cfg, table)}/{folder}"
+    writer = df.write.format(cfg.table_format).mode("error").options(**cfg.table_options)
+    writer.partitionBy(*partition_by).save(path)
+    # of the files' own counts, without reading rows
+    stored = df.sparkSession.read.format(cfg.table_format).schema(df.schema).options(**cfg.table_options)
+    return Part(table, folder, key, stored.load(path).count(), **about)
+
+
+def read_parts(
+    spark: SparkSession, cfg: Settings, table: str, parts: Sequence[Part], schema: T.StructType
+) -> DataFrame:
+    """One scan over the given parts, with the column `part`."""
+    layout = T.StructType([*schema, T.StructField("part", T.StringType())])
+    if not parts:
+        return spark.createDataFrame([], layout)
+    path = table_path(cfg, table)
+    reader = spark.read.format(cfg.table_format).schema(layout).options(**cfg.table_options)
+    return reader.option("basePath", path).load([f"{path}/{part.folder}" for part in parts])
+
+
+def scored_part(
+    df: DataFrame,
+    cfg: Settings,
+    label_source: str,
+    run_id: str,
+    batch_id: int,
+    compact: bool = False,
+    unique: bool = False,
+) -> Part:
+    """Payments of one write by class, not live yet. `unique` says that no number comes twice."""
+    label = F.col("is_fraud")
+    rows = df.filter(label.isin(*CLASSES)).select(
+        *SCORED.fieldNames(),
+        F.lit(label_source).alias("label_source"),
+        F.lit(run_id).alias("run_id"),
+        F.lit(batch_id).cast("long").alias("batch_id"),
+        label.cast("int").alias("is_fraud"),
+    )
+    if compact:
+        rows = rows.hint("rebalance", "is_fraud")
+    key = f"{label_source}/{run_id}/{batch_id}"
+    about = {"source": label_source, "unique": unique}
+    return write_part(rows, cfg, cfg.scored_table, key, ("is_fraud",), **about)
+
+
 def write_by_class(
     df: DataFrame,
     cfg: Settings,
@@ -102,26 +162,26 @@ def write_by_class(
     run_id: str,
     batch_id: int,
     compact: bool = False,
+    unique: bool = False,
 ) -> None:
     """Store payments by class; `is_fraud` other than 0 or 1 goes to neither class.
 
-    Files: one pass writes both classes as folders of one table, so nothing is cached and the
-    input is not read twice. Connector: two tables, two filtered writes over a cached frame.
+    Files: one pass writes both classes as folders of one part, so nothing is cached and the
+    input is not read twice; the part is live once it is committed, and replaces the part of an
+    earlier run of the same load. Rows of that one which were merged since are replaced by key.
+    Connector: two tables, two filtered writes over a cached frame.
 
     Each task writes a file per class. `compact` shuffles the rows by class first, into even
     pieces, so that the rare class does not end up in as many small files as there are tasks.
     """
+    if cfg.stores_files:
+        part = scored_part(df, cfg, label_source, run_id, batch_id, compact, unique)
+        commit(df.sparkSession, cfg, [part])
+        return
     label = F.col("is_fraud")
     rows = df.filter(label.isin(*CLASSES)).select(
         *SCORED.fieldNames(), label.cast("int").alias("is_fraud")
-    )
-    if cfg.stores_files:
-        if compact:
-            rows = rows.hint("rebalance", "is_fraud")
-        slices = {"label_source": label_source, "run_id": run_id, "batch_id": batch_id}
-        replace_slice(rows, cfg, cfg.scored_table, slices, ("is_fraud",))
-        return
-    rows = rows.persist()
+    ).persist()
     try:
         for value, table in zip(CLASSES, (cfg.non_fraud_table, cfg.fraud_table)):
             append_table(rows.filter(F.col("is_fraud") == value).drop("is_fraud"), cfg, table)
@@ -129,41 +189,76 @@ def write_by_class(
         rows.unpersist()
 
 
+def read_scored_parts(spark: SparkSession, cfg: Settings, parts: Sequence[Part]) -> DataFrame:
+    """Stored payments of some parts, with the number of the commit that stored each row."""
+    layout = T.StructType([*SCORED, *SCORED_SLICES, *MERGED])
+    rows = read_parts(spark, cfg, cfg.scored_table, parts, layout)
+    if not parts:
+        return rows.drop("part")
+    # few, as merging keeps them few; a merged row carries its number itself
+    numbers = [x for p in parts for x in (F.lit(p.folder.partition("=")[2]), F.lit(p.sequence))]
+    committed = F.element_at(F.create_map(*numbers), F.col("part")).cast("long")
+    return rows.withColumn(SEQUENCE, F.coalesce(SEQUENCE, committed)).drop("part")
+
+
 def read_scored(spark: SparkSession, cfg: Settings) -> DataFrame:
-    """All stored payments, with `is_fraud`, `label_source`, `run_id`, `batch_id`, repeats included."""
+    """All stored payments, with `is_fraud`, `label_source`, `run_id`, `batch_id`.
+
+    A payment that was written again comes again, until its writes are merged.
+    """
     if cfg.stores_files:
-        layout = T.StructType([*SCORED, *SCORED_SLICES])
-        return read_table(spark, cfg, cfg.scored_table, layout)
+        parts = newest(spark, cfg).of(cfg.scored_table)
+        return read_scored_parts(spark, cfg, parts).drop(*MERGED.fieldNames())
     return union_by_class(
         read_table(spark, cfg, cfg.non_fraud_table), read_table(spark, cfg, cfg.fraud_table)
     )
 
 
+def base_and_since(parts: Sequence[Part]) -> tuple[list[Part], list[Part]]:
+    """Parts that have one row per key among them, and all that were committed after them.
+
+    Those are the merged ones, and before there are any the first part, if its keys are unique.
+    """
+    base = [p for p in parts if p.level == BASE]
+    if not base and parts and parts[0].unique:
+        base = [parts[0]]
+    return base, [p for p in parts if p not in base]
+
+
 def current_scored(
     spark: SparkSession, cfg: Settings, label_sources: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per transaction number: the last write of the given sources wins.
 
-    Files say themselves when they were written. A connector's store keeps one row per key, and
-    does not know sources.
+    Merged payments, or those of the first load, have one row per key already. Only the parts written
+    since are brought down to their last writes, and the keys of those leave the others by an anti join;
+    they are broadcast while they are few. A connector's store keeps one row per key, and does not
+    know sources.
     """
-    stored = read_scored(spark, cfg)
+    every = label_sources is None or set(label_sources) >= set(LABEL_SOURCES)
     if not cfg.stores_files:
-        if label_sources is not None and set(label_sources) != set(LABEL_SOURCES):
+        if not every:
             raise ValueError("this store does not tell loaded labels from predicted ones")
-        return stored
-    if not path_exists(spark, table_path(cfg, cfg.scored_table)):
-        return stored
-    stored = stored.select("*", F.col("_metadata.file_modification_time").alias(STORED_AT))
-    if label_sources is not None:
-        stored = stored.filter(F.col("label_source").isin(*label_sources))
-    return latest_scored(stored).drop(STORED_AT)
+        return read_scored(spark, cfg)
+    merged, later = base_and_since(newest(spark, cfg).of(cfg.scored_table))
+    since = [p for p in later if every or p.source is None or p.source in label_sources]
+    wanted = F.lit(True) if every else F.col("label_source").isin(*label_sources)
+    current = F.coalesce("is_current", F.lit(True))
+    old = read_scored_parts(spark, cfg, merged).filter(current if every else wanted)
+    if merged and not since:
+        return old.drop(*MERGED.fieldNames())
+    new = latest_scored(read_scored_parts(spark, cfg, since).filter(wanted))
+    if merged:
+        keys = new.select("transaction_number").filter("transaction_number is not null")
+        few = sum(p.rows for p in since) * KEY_BYTES <= BROADCAST_LIMIT
+        old = old.join(F.broadcast(keys) if few else keys, "transaction_number", "left_anti")
+    return old.unionByName(new).drop(*MERGED.fieldNames())
 
 
 def read_class(spark: SparkSession, cfg: Settings, is_fraud: int, latest: bool = True) -> DataFrame:
     """Payments whose last write has this class.
 
-    With `latest` false every write counts, and of files only that class's folders are read.
+    With `latest` false every write counts. Of files, only that class's folders of merged payments are read.
     """
     if cfg.stores_files:
         rows = current_scored(spark, cfg) if latest else read_scored(spark, cfg)

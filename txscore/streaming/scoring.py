@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,18 +20,24 @@ from txscore.operators.enrich import (
     rejected,
 )
 from txscore.operators.forest import score
+from txscore.operators.latest import latest_by_key
 from txscore.operators.offsets import max_offset_per_partition, start_position
+from txscore.plans.merge_tables import merge_parts
 from txscore.schemas import BATCH_SLICES, CUSTOMER_TABLE, OFFSETS, REJECTS
 from txscore.session import BROADCAST_LIMIT, path_exists
 from txscore.settings import Settings
-from txscore.sources.kafka import read_records
+from txscore.sources.kafka import read_records, topic_partitions
+from txscore.sources.manifest import commit, newest
 from txscore.sources.models import load_models, newest_model_version
 from txscore.sources.tables import (
+    append_table,
     latest_version,
+    read_parts,
     read_snapshot,
     read_table,
-    replace_slice,
+    scored_part,
     write_by_class,
+    write_part,
 )
 
 # set by Spark on the thread that runs a micro-batch; the id lives in the checkpoint
@@ -85,11 +92,10 @@ def score_batch(
 ) -> None:
     """Score one micro-batch of (value, partition, offset) and store the outcome.
 
-    The parsed batch is kept before anything looks at it, so its source is read once. Customers are read anew each time, so a card opened today is known today. The three writes
-    replace the slice of this batch, so a repeated batch leaves one copy; positions come last.
+    The parsed batch is kept before anything looks at it, so its source is read once. Customers are read anew each time, so a card opened today is known today. All that is
+    stored goes live in one step, and a repeated batch leaves one copy.
     """
     spark = records.sparkSession
-    slices = {"run_id": run_id, "batch_id": batch_id}
     version = latest_version(spark, cfg, cfg.customer_table) if cfg.stores_files else None
     customers = read_snapshot(spark, cfg, cfg.customer_table, CUSTOMER_TABLE)
     payments = parse_payments(records, cfg.source_zone).persist()
@@ -99,23 +105,68 @@ def score_batch(
         matched = match_customers(payments, side).persist()
         try:
             scored = rename_columns(scorer(accepted(matched)), {"prediction": "is_fraud"})
-            write_by_class(scored, cfg, "predicted", run_id, batch_id, compact=True)
-            replace_slice(rejected(matched), cfg, cfg.reject_table, slices)
-            replace_slice(max_offset_per_partition(matched), cfg, cfg.offset_table, slices)
+            # of payments with the same number in a batch the one with the last offset
+            lone = scored.filter("transaction_number is null")
+            keyed = scored.filter("transaction_number is not null")
+            last = latest_by_key(keyed, "transaction_number", F.desc("offset"), F.desc("partition"))
+            store_batch(last.unionByName(lone), matched, cfg, run_id, batch_id)
         finally:
             matched.unpersist()
     finally:
         payments.unpersist()
 
 
+def store_batch(
+    scored: DataFrame, matched: DataFrame, cfg: Settings, run_id: str, batch_id: int
+) -> None:
+    """Store payments, rejects and positions of a batch.
+
+    `scored` has each payment number once. Files: three parts that go live in one commit, so no reader sees half a batch, and one that
+    fails before it leaves nothing. A batch that comes again replaces its parts. Positions are
+    one row per partition: what is stored and the batch, whichever is further. A connector's tables
+    are written one after the other, positions last.
+    """
+    spark = matched.sparkSession
+    lost = rejected(matched).select(
+        "*", F.lit(run_id).alias("run_id"), F.lit(batch_id).cast("long").alias("batch_id")
+    )
+    done = max_offset_per_partition(matched)
+    if not cfg.stores_files:
+        write_by_class(scored, cfg, "predicted", run_id, batch_id)
+        append_table(lost, cfg, cfg.reject_table)
+        append_table(done.withColumn("topic", F.lit(cfg.topic)), cfg, cfg.offset_table)
+        return
+    key = f"{run_id}/{batch_id}"
+    positions = max_offset_per_partition(stored_offsets(spark, cfg).unionByName(done))
+    parts = [
+        scored_part(scored, cfg, "predicted", run_id, batch_id, compact=True, unique=True),
+        write_part(lost, cfg, cfg.reject_table, key),
+        write_part(
+            positions.select(F.lit(cfg.topic).alias("topic"), "partition", "offset"),
+            cfg,
+            cfg.offset_table,
+            f"topic/{cfg.topic}",
+        ),
+    ]
+    commit(spark, cfg, parts)
+
+
 def stored_offsets(spark: SparkSession, cfg: Settings) -> DataFrame:
-    layout = T.StructType([*OFFSETS, *BATCH_SLICES])
-    return max_offset_per_partition(read_table(spark, cfg, cfg.offset_table, layout))
+    """(partition, offset) of the topic: the last offset done."""
+    if cfg.stores_files:
+        parts = newest(spark, cfg).of(cfg.offset_table)
+        stored = read_parts(spark, cfg, cfg.offset_table, parts, OFFSETS)
+    else:
+        stored = read_table(spark, cfg, cfg.offset_table)
+    return max_offset_per_partition(stored.filter(F.col("topic") == cfg.topic))
 
 
 def read_rejects(spark: SparkSession, cfg: Settings) -> DataFrame:
     layout = T.StructType([*REJECTS, *BATCH_SLICES])
-    return read_table(spark, cfg, cfg.reject_table, layout)
+    if not cfg.stores_files:
+        return read_table(spark, cfg, cfg.reject_table)
+    parts = newest(spark, cfg).of(cfg.reject_table)
+    return read_parts(spark, cfg, cfg.reject_table, parts, layout).drop("part")
 
 
 def has_checkpoint(spark: SparkSession, cfg: Settings) -> bool:
@@ -123,11 +174,15 @@ def has_checkpoint(spark: SparkSession, cfg: Settings) -> bool:
 
 
 def topic_records(spark: SparkSession, cfg: Settings) -> DataFrame:
-    """The topic; without a checkpoint it goes on after the stored positions, if any."""
+    """The topic; without a checkpoint it goes on after the stored positions, if any.
+
+    Partitions without a stored position, added since, are read from their first record.
+    """
     if not has_checkpoint(spark, cfg):
-        position = start_position(stored_offsets(spark, cfg), cfg.topic).first()
-        if position is not None:
-            return read_records(spark, cfg, position["starting_offsets"], position["assigned"])
+        stored = stored_offsets(spark, cfg)
+        if not stored.isEmpty():
+            position = start_position(stored, cfg.topic, topic_partitions(spark, cfg)).first()
+            return read_records(spark, cfg, position["starting_offsets"])
     return read_records(spark, cfg)
 
 
@@ -150,6 +205,7 @@ def start_scoring(
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         score_batch(batch, batch_id, run_id, cfg, chosen, broadcast_limit, size)
+        merge_parts(batch.sparkSession, cfg)
 
     writer = source.writeStream.foreachBatch(each_batch).option(
         "checkpointLocation", cfg.checkpoint_location
