@@ -6,6 +6,7 @@ import argparse
 
 from txscore.session import build
 from txscore.settings import Settings
+from txscore.streaming.control import BatchMetrics, await_end
 from txscore.streaming.scoring import start_scoring
 
 
@@ -15,7 +16,10 @@ def main() -> None:
     args = parser.parse_args()
     spark = build("score-stream")
     cfg = Settings.from_spark(spark)
-    start_scoring(spark, cfg, until_caught_up=args.until_caught_up).awaitTermination()
+    metrics = BatchMetrics(spark, cfg)
+    spark.streams.addListener(metrics)
+    stream = start_scoring(spark, cfg, until_caught_up=args.until_caught_up, metrics=metrics)
+    await_end(stream, spark, cfg)
 
 
 if __name__ == "__main__":

@@ -1,6 +1,9 @@
 import random
 from dataclasses import replace
+from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +22,6 @@ from txscore.sources.tables import (
     read_scored,
     table_path,
     write_by_class,
-    write_part,
 )
 
 
@@ -63,10 +65,9 @@ def by_hand(writes, sources):
     return sorted([*last.values(), *alone], key=repr)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_merges_change_no_answer(spark, cfg, seed):  # noqa: F811
-    dice = random.Random(seed)
-    cfg = replace(cfg, merge_after=2, buckets=3)
+def test_merges_change_no_answer(spark, cfg):  # noqa: F811
+    dice = random.Random(2)
+    cfg = replace(cfg, merge_after=2, buckets=2)
     template = payments(spark, [0])
     writes = []
 
@@ -90,12 +91,12 @@ def test_merges_change_no_answer(spark, cfg, seed):  # noqa: F811
                 assert answer(sources) == by_hand(writes, sources)
     fold_payments(spark, cfg, always=True)
     parts = newest(spark, cfg).of(cfg.scored_table)
-    assert [p.level for p in parts] == [BASE] * 3
+    assert [p.level for p in parts] == [BASE] * 2
     assert answer(None) == by_hand(writes, ("loaded", "predicted"))
     frauds = sorted(r.amount for r in read_class(spark, cfg, 1).collect())
     assert frauds == sorted(a for _, a, label in by_hand(writes, ("loaded", "predicted")) if label == 1)
     # read with another number of buckets, nothing is lost
-    other = replace(cfg, buckets=2)
+    other = replace(cfg, buckets=1)
     write_by_class(template.withColumn("transaction_number", F.lit("a")), other, "loaded", "run", 99)
     before = answer(None)
     assert fold_payments(spark, other, always=True) and answer(None) == before
@@ -113,8 +114,13 @@ def test_folders_stay_few_over_many_batches(spark, cfg):  # noqa: F811
     cfg = replace(cfg, merge_after=8)
     layout = T.StructType([*REJECTS, *BATCH_SLICES])
     for batch in range(200):
-        row = spark.createDataFrame([(f"bad {batch}", 0, batch, "x", "run", batch)], layout).coalesce(1)
-        parts = [write_part(row, cfg, cfg.reject_table, f"run/{batch}")]
+        row = {"value": "bad", "partition": 0, "offset": batch, "reject_reason": "x", "run_id": "r", "batch_id": batch}
+        parts = [Part(cfg.reject_table, manifest.new_part_folder(), f"run/{batch}", 1)]
+        place = Path(table_path(cfg, cfg.reject_table)) / parts[0].folder
+        place.mkdir(parents=True)
+        fields = {"partition": pa.int32(), "offset": pa.int64(), "batch_id": pa.int64()}
+        schema = pa.schema([(name, fields.get(name, pa.string())) for name in row])
+        pq.write_table(pa.Table.from_pylist([row], schema), place / "part-0.parquet")
         # the positions of a topic replace those before
         parts.append(Part(cfg.offset_table, f"part={batch}", "topic/t", 1))
         commit(spark, cfg, parts)

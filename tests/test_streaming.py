@@ -1,3 +1,5 @@
+import json
+import time
 from dataclasses import replace
 
 import pytest
@@ -17,6 +19,7 @@ from txscore.operators.history import with_customer_age
 from txscore.operators.routing import class_counts
 from txscore.plans.train_models import TrainingOptions, train
 from txscore.schemas import CUSTOMER_TABLE, MODEL_COLUMNS, OFFSETS, SCORED_COLUMNS
+from txscore.session import write_new_file
 from txscore.settings import Settings
 from txscore.sources.manifest import commit
 from txscore.sources.models import save_models
@@ -28,6 +31,7 @@ from txscore.sources.tables import (
     write_part,
 )
 from txscore.streaming import scoring
+from txscore.streaming.control import BatchMetrics, await_end, read_batch_metrics
 from txscore.streaming.scoring import (
     ForestScorer,
     SnapshotSize,
@@ -276,3 +280,48 @@ def test_stream_by_interval(spark, cfg, inbox):
     finally:
         stream.stop()
     assert read_scored(spark, cfg).count() > 0
+
+
+def until(holds, seconds=60):
+    end = time.time() + seconds
+    while not holds() and time.time() < end:
+        time.sleep(0.1)
+    return holds()
+
+
+def test_batches_leave_metrics(spark, cfg, inbox):
+    metrics = BatchMetrics(spark, cfg)
+    spark.streams.addListener(metrics)
+    try:
+        stream = start_scoring(
+            spark, cfg, watch(spark, inbox, files=1), large_is_fraud, until_caught_up=True, metrics=metrics
+        )
+        stream.awaitTermination()
+        assert until(lambda: read_batch_metrics(spark, cfg).count() == 3)
+    finally:
+        spark.streams.removeListener(metrics)
+    assert not metrics.failed
+    rows = sorted(read_batch_metrics(spark, cfg).collect(), key=lambda r: r.batch_id)
+    assert [r.batch_id for r in rows] == [0, 1, 2] and len({r.run_id for r in rows}) == 1
+    assert sum(r.n_read for r in rows) == spark.read.parquet(inbox).count()
+    assert sum(r.n_stored for r in rows) == read_scored(spark, cfg).count()
+    assert sum(r.n_rejected for r in rows) == read_rejects(spark, cfg).count()
+    assert all(r.duration_ms > 0 and json.loads(r.end_offsets) for r in rows)
+
+
+def test_marker_ends_the_stream(spark, cfg, inbox, tmp_path):
+    cfg = replace(cfg, batch_interval_ms=200, stop_marker=str(tmp_path / "stop"))
+    stream = start_scoring(spark, cfg, watch(spark, inbox), large_is_fraud)
+    try:
+        stream.processAllAvailable()
+        write_new_file(spark, cfg.stop_marker, "")
+        assert await_end(stream, spark, cfg, look_every=0.2)
+        assert not stream.isActive
+    finally:
+        stream.stop()
+    assert read_scored(spark, cfg).count() > 0
+
+
+def test_a_stream_that_ends_by_itself_needs_no_marker(spark, cfg, inbox):
+    stream = start_scoring(spark, cfg, watch(spark, inbox), large_is_fraud, until_caught_up=True)
+    assert not await_end(stream, spark, cfg, look_every=0.2)

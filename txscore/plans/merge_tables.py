@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from txscore.operators.latest import SEQUENCE, latest_scored
-from txscore.schemas import BATCH_SLICES, REJECTS, SCORED
+from txscore.schemas import BATCH_SLICES, REJECTS, SCORED, STREAM_METRICS
 from txscore.settings import Settings
 from txscore.sources.manifest import BASE, Moved, Part, newest, swap, sweep
 from txscore.sources.tables import base_and_since, read_parts, read_scored_parts, write_part
@@ -79,12 +79,15 @@ def _switched(spark: SparkSession, cfg: Settings, table: str, old: list[Part], n
 
 
 def merge_parts(spark: SparkSession, cfg: Settings) -> int:
-    """Merge what has gathered of payments and rejects; returns how many merges there were."""
+    """Merge what has gathered of payments, rejects and batch metrics; returns how many merges there were."""
     if not cfg.stores_files:
         return 0
     merges = 0
-    rejects = T.StructType([*REJECTS, *BATCH_SLICES])
-    for table, folders in ((cfg.scored_table, ("is_fraud",)), (cfg.reject_table, ())):
+    plain = {
+        cfg.reject_table: T.StructType([*REJECTS, *BATCH_SLICES]),
+        cfg.stream_metric_table: STREAM_METRICS,
+    }
+    for table in (cfg.scored_table, *plain):
         for level in range(64):
             of_level = [p for p in newest(spark, cfg).of(table) if p.level == level]
             if len(of_level) <= cfg.merge_after:
@@ -93,7 +96,7 @@ def merge_parts(spark: SparkSession, cfg: Settings) -> int:
                 rows = read_scored_parts(spark, cfg, of_level).drop("is_current")
                 rows = latest_scored(rows, "label_source").hint("rebalance", "is_fraud")
             else:
-                rows = read_parts(spark, cfg, table, of_level, rejects).drop("part").hint("rebalance")
+                rows = read_parts(spark, cfg, table, of_level, plain[table]).drop("part").hint("rebalance")
             sources = {p.source for p in of_level}
             one = len(sources) == 1 and None not in sources
             merged = write_part(
@@ -101,10 +104,10 @@ def merge_parts(spark: SparkSession, cfg: Settings) -> int:
                 cfg,
                 table,
                 f"level/{level + 1}/{max(p.sequence for p in of_level)}",
-                folders,
+                () if table in plain else ("is_fraud",),
                 level=level + 1,
                 source=min(sources) if one else None,
-                unique=one and table == cfg.scored_table,
+                unique=one and table not in plain,
             )
             merges += _switched(spark, cfg, table, of_level, [merged])
     return merges

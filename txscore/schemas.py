@@ -91,6 +91,17 @@ BATCH_SLICES = T.StructType([
     T.StructField("batch_id", T.LongType()),
 ])
 
+STREAM_METRICS = T.StructType([
+    T.StructField("run_id", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("started_at", T.StringType()),
+    T.StructField("n_read", T.LongType()),
+    T.StructField("n_stored", T.LongType()),
+    T.StructField("n_rejected", T.LongType()),
+    T.StructField("duration_ms", T.LongType()),
+    T.StructField("end_offsets", T.StringType()),
+])
+
 VERSIONS = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("version", T.StringType()),

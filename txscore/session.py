@@ -79,7 +79,8 @@ def file_names(spark: SparkSession, folder: str) -> list[str]:
     place, files = _file_system(spark, folder)
     if not files.exists(place):
         return []
-    return [found.getPath().getName() for found in files.listStatus(place)]
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(files.listStatus(place))
+    return [path.getName() for path in paths]
 
 
 def read_small_file(spark: SparkSession, path: str) -> str:

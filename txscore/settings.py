@@ -28,6 +28,7 @@ class Settings:
     reject_table: str = "rejects"
     metric_table: str = "model_metrics"
     version_table: str = "versions"
+    stream_metric_table: str = "stream_metrics"
 
     # parts that a table may gather before they are merged, and folders of the merged payments
     merge_after: int = 16
@@ -39,6 +40,8 @@ class Settings:
 
     # stream
     checkpoint_location: str = ""
+    # while something is at this path, the stream ends after its batch
+    stop_marker: str = ""
     batch_interval_ms: int = 10_000
     source_zone: str = "UTC"
     topic: str = "credit_card_transaction"

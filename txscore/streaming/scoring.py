@@ -39,6 +39,7 @@ from txscore.sources.tables import (
     write_by_class,
     write_part,
 )
+from txscore.streaming.control import BatchMetrics
 
 # set by Spark on the thread that runs a micro-batch; the id lives in the checkpoint
 QUERY_ID = "sql.streaming.queryId"
@@ -89,11 +90,12 @@ def score_batch(
     scorer: Scorer,
     broadcast_limit: int = BROADCAST_LIMIT,
     size: SnapshotSize | None = None,
-) -> None:
+) -> tuple[int, int]:
     """Score one micro-batch of (value, partition, offset) and store the outcome.
 
     The parsed batch is kept before anything looks at it, so its source is read once. Customers are read anew each time, so a card opened today is known today. All that is
-    stored goes live in one step, and a repeated batch leaves one copy.
+    stored goes live in one step, and a repeated batch leaves one copy. Returns how many payments were
+    stored and rejected.
     """
     spark = records.sparkSession
     version = latest_version(spark, cfg, cfg.customer_table) if cfg.stores_files else None
@@ -109,7 +111,7 @@ def score_batch(
             lone = scored.filter("transaction_number is null")
             keyed = scored.filter("transaction_number is not null")
             last = latest_by_key(keyed, "transaction_number", F.desc("offset"), F.desc("partition"))
-            store_batch(last.unionByName(lone), matched, cfg, run_id, batch_id)
+            return store_batch(last.unionByName(lone), matched, cfg, run_id, batch_id)
         finally:
             matched.unpersist()
     finally:
@@ -118,8 +120,8 @@ def score_batch(
 
 def store_batch(
     scored: DataFrame, matched: DataFrame, cfg: Settings, run_id: str, batch_id: int
-) -> None:
-    """Store payments, rejects and positions of a batch.
+) -> tuple[int, int]:
+    """Store payments, rejects and positions of a batch; how many payments were stored and rejected.
 
     `scored` has each payment number once. Files: three parts that go live in one commit, so no reader sees half a batch, and one that
     fails before it leaves nothing. A batch that comes again replaces its parts. Positions are
@@ -135,7 +137,7 @@ def store_batch(
         write_by_class(scored, cfg, "predicted", run_id, batch_id)
         append_table(lost, cfg, cfg.reject_table)
         append_table(done.withColumn("topic", F.lit(cfg.topic)), cfg, cfg.offset_table)
-        return
+        return accepted(matched).count(), lost.count()
     key = f"{run_id}/{batch_id}"
     positions = max_offset_per_partition(stored_offsets(spark, cfg).unionByName(done))
     parts = [
@@ -149,6 +151,7 @@ def store_batch(
         ),
     ]
     commit(spark, cfg, parts)
+    return parts[0].rows, parts[1].rows
 
 
 def stored_offsets(spark: SparkSession, cfg: Settings) -> DataFrame:
@@ -193,9 +196,12 @@ def start_scoring(
     scorer: Scorer | None = None,
     until_caught_up: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
+    metrics: BatchMetrics | None = None,
 ) -> StreamingQuery:
     """Start the stream and return its handle; stopping it is up to the caller.
 
+    `metrics`, a listener that was added to the session, is told what became of each batch.
+
     `records` stands in for the topic and needs the columns value, partition, offset.
     """
     source = topic_records(spark, cfg) if records is None else records
@@ -204,7 +210,9 @@ def start_scoring(
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-        score_batch(batch, batch_id, run_id, cfg, chosen, broadcast_limit, size)
+        outcome = score_batch(batch, batch_id, run_id, cfg, chosen, broadcast_limit, size)
+        if metrics is not None:
+            metrics.outcome(run_id, batch_id, *outcome)
         merge_parts(batch.sparkSession, cfg)
 
     writer = source.writeStream.foreachBatch(each_batch).option(
