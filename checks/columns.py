@@ -112,7 +112,7 @@ def route_by_label(spark, sf_dir):
     cfg = scratch_settings(spark)
     label = F.when(F.col("category") != "view", F.col("is_fraud"))
     write_by_class(
-        history(spark, sf_dir).withColumn("is_fraud", label), cfg, "loaded", "first", 0
+        history(spark, sf_dir).withColumn("is_fraud", label), cfg, "loaded", "first", 0, unique=True
     )
     return union_by_class(read_class(spark, cfg, 0), read_class(spark, cfg, 1)).select(
         *SCORED_COLUMNS, "is_fraud"
