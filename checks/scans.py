@@ -22,12 +22,14 @@ from txscore.schemas import CUSTOMER_CSV, CUSTOMER_TABLE, TRANSACTION_CSV
 from txscore.functions import zone_text
 from txscore.sources.csv import read_csv, read_replay_csv
 from txscore.sources.kafka import project_records
+from txscore.sources.manifest import commit
 from txscore.sources.tables import (
     append_table,
     current_scored,
     read_scored,
     read_snapshot,
     read_table,
+    write_part,
 )
 from txscore.streaming.scoring import stored_offsets
 
@@ -305,17 +307,16 @@ def max_offsets(spark, sf_dir):
 
 @query("stored_offsets", _OFFSETS)
 def offsets_after_batches(spark, sf_dir):
-    """Positions written batch by batch, one batch per record length, then looked up."""
+    """Positions of two topics, one row per batch (here a record length) and partition, looked up for one."""
     cfg = scratch_settings(spark)
     records = view(spark, sf_dir, "payments_json").withColumn(
         "batch_id", F.length("value").cast("long")
     )
     batches = records.groupBy("partition", "batch_id").agg(F.max("offset").alias("offset"))
-    append_table(
-        batches.select("partition", "offset", F.lit("run").alias("run_id"), "batch_id"),
-        cfg,
-        cfg.offset_table,
-    )
+    rows = batches.select(F.lit(cfg.topic).alias("topic"), "partition", "offset")
+    other = rows.withColumns({"topic": F.lit("other"), "offset": F.col("offset") + 1})
+    parts = [write_part(r, cfg, cfg.offset_table, k) for k, r in (("mine", rows), ("other", other))]
+    commit(spark, cfg, parts)
     return stored_offsets(spark, cfg)
 
 
