@@ -145,3 +145,15 @@ def test_run_of_pieces_is_dealt_out_by_bytes():
     assert ids._encode_run(pieces) == ids._encode(pieces)
     with pytest.raises(RuntimeError, match="across"):
         ids._encode_run([" wo", "rd"])
+
+
+def test_other_residuals_decide_between_equal_ones():
+    # two sequences have two tokens left: one of a single piece, one of two
+    pieces = np.array([8, 4, 4, 1])
+    assert packing.best_fit(pieces, packing.Capacity(10), packing.DOT).tolist() == [0, 1, 1, 1]
+    assert packing.best_fit(pieces, packing.Capacity(10), packing.NORM).tolist() == [0, 1, 1, 0]
+    # a token's difference outweighs them, unless documents bind: then the sequence that is nearer
+    # to its last document costs less (0.049 to 0.102)
+    pieces = np.array([8, 4, 3, 1])
+    assert packing.best_fit(pieces, packing.Capacity(10)).tolist() == [0, 1, 1, 0]
+    assert packing.best_fit(pieces, packing.Capacity(10, documents=4)).tolist() == [0, 1, 1, 1]

@@ -113,11 +113,12 @@ def best_fit(lengths: np.ndarray, capacity: Capacity, rule: str = NORM) -> np.nd
         raise ValueError(f"unknown rule: {rule}")
     limits = capacity.limits()
     demands = np.stack([lengths, np.ones(len(lengths)), lengths.astype(float) ** 2], axis=1) / limits
-    # a dimension counts by the share of it that all pieces ask for, and not at all if the tokens
-    # alone keep it
+    # a dimension counts by the share of it that all pieces ask for; one that the tokens alone keep
+    # decides between sequences that are alike in the others, by less than one token's difference
     able = np.array([True, limits[1] < limits[0], limits[2] < limits[0] ** 2])
     weights = demands.sum(axis=0) * able
     weights /= max(weights.sum(), 1e-300)
+    weights[~able] = 0.1 * weights[0] / limits[0] ** 2
     smallest = demands.min(axis=0, initial=1.0)
     room = np.ones((max(1, len(lengths)), 3))  # by open sequence; `number` says which
     number = np.zeros(len(room), np.int64)
