@@ -10,6 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txscore.operators.cells import COARSE, two_level_centers
 from txscore.operators.features import FEATURES, without_slot_names
 
 WEIGHT = "weight"
@@ -83,10 +84,12 @@ def cluster_centers(
 ) -> DataFrame:
     """(cluster, n, features): the mean of the rows nearest each centre, and how many they are.
 
-    There can be fewer than k, when fewer distinct rows exist. k-means compares every row with
-    every centre in each round and keeps k vectors on the driver meanwhile; the means are taken
-    where the rows are.
+    There can be fewer than k, when fewer distinct rows exist. One fit compares every row with
+    every centre in each round and keeps the centres on the driver, so more than `COARSE` of them
+    are found in two levels, where no row meets all and the driver sees about sqrt(k).
     """
+    if k > COARSE:
+        return two_level_centers(features.select(FEATURES), k, max_iter, seed)
     model = KMeans(k=max(2, k), maxIter=max_iter, seed=seed, predictionCol="cluster").fit(
         features.select(FEATURES)
     )
