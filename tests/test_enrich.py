@@ -228,6 +228,25 @@ def test_customers_of_a_batch_come_three_ways(spark):
     assert "Broadcast" not in found["shuffled"][0]
 
 
+def test_many_cards_cut_many_customers_by_a_bloom_filter(spark, tmp_path):
+    customers(spark, 5_000).write.parquet(f"{tmp_path}/customers")
+    side = spark.read.parquet(f"{tmp_path}/customers")
+    rows = payments(spark, 300, "cast(id % 70 as string)").unionByName(
+        payments(spark, 2, "if(id = 0, '', null)")
+    ).persist()
+    small = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    with conf(spark, **NO_BROADCAST, **small):
+        joined = enrich(rows, customers_for(rows, side, 10))
+        plan = planned(joined)
+        found = sorted(map(tuple, joined.collect()))
+        assert found == sorted(map(tuple, enrich(rows, side).collect()))
+    assert len(found) == 300
+    # the filter stands where the customers are scanned; payments, customers and cards are shuffled once
+    assert "might_contain" in plan and "bloom_filter_agg" in plan
+    assert plan.count("Exchange hashpartitioning") == 3
+    rows.unpersist()
+
+
 def test_hint_reaches_the_join_of_a_micro_batch(spark):
     source, side = records(spark, payload()), customers(spark)
     with conf(spark, **NO_BROADCAST):

@@ -21,6 +21,9 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # customers beyond the broadcast limit still fit a hash table per task: no sort of payments
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "67108864",
+    # cards beyond the broadcast limit cut a large scan of customers by a Bloom filter of 8 MiB at most
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
 }
 
 
