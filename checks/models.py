@@ -14,9 +14,19 @@ from txscore.operators.forest import fit_forest, score
 from txscore.operators.labels import label_index
 from txscore.operators.splits import random_split as split_at_random
 from txscore.plans.load_history import load_history
-from txscore.plans.train_models import CLUSTERED, KEY, NUMBERS, TrainingOptions, train, train_models
+from txscore.plans.payment_counts import CLASS, VALUE, count_values, counted_payments
+from txscore.plans.train_models import (
+    CLUSTERED,
+    KEY,
+    NUMBERS,
+    TrainingOptions,
+    counted_by,
+    train,
+    train_models,
+)
 from txscore.schemas import MODEL_COLUMNS
 from txscore.sources.models import load_models, save_models
+from txscore.sources.tables import current_scored, write_by_class
 from txscore.streaming.scoring import score_batch
 
 STRINGS = ["category", "merchant_name"]
@@ -460,3 +470,47 @@ def retrain_after_replay(spark, sf_dir):
         score_batch(records, 0, run_id, cfg, by_amount)
     metrics = train_models(spark, cfg, "day-1", TrainingOptions(trees=3))
     return metrics.select("n_rows", "n_unusable")
+
+
+_DAY = "cast(transaction_number as bigint) % 3"
+_AGAIN = "cast(transaction_number as bigint) % 5 = 0"
+
+
+@query(
+    "counts_after_three_days",
+    with_views("history")
+    + f""", stored as (
+  select transaction_number,
+         case when {_DAY} < 2 and {_AGAIN} then 'corrected' else category end as category,
+         merchant_name,
+         case when {_DAY} < 2 and {_AGAIN} then 1 - is_fraud else is_fraud end as is_fraud
+  from history)
+select 'is_fraud' as column_name, cast(is_fraud as varchar) as value, true as is_usable,
+       substr(md5(transaction_number), 1, 4) < 'b333' as trains, count(*) as n, true as as_recounted
+from stored group by is_fraud, trains
+union all
+select 'category', category, true, null, count(*), true from stored group by category
+union all
+select 'merchant_name', merchant_name, true, null, count(*), true from stored group by merchant_name""",
+)
+def counts_after_three_days(spark, sf_dir):
+    """A third of the payments a day, with corrections of a part of the day before; the counts of each
+    day are those of the day before and what was written since. Equal to counting all anew."""
+    cfg = scratch_settings(spark)
+    rows = history(spark, sf_dir)
+    counted = counted_by(rows, TrainingOptions())
+    again = rows.filter(_AGAIN).withColumns({
+        "category": F.lit("corrected"), CLASS: 1 - F.col(CLASS)
+    })
+    for day in range(3):
+        written = rows.filter(f"{_DAY} = {day}").unionByName(again.filter(f"{_DAY} = {day - 1}"))
+        write_by_class(written, cfg, "loaded", f"day-{day}", 0, unique=True)
+        payments, counts = counted_payments(spark, cfg, counted)
+    anew = count_values(current_scored(spark, cfg), counted).withColumnRenamed("n", "n_anew")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in VALUE]
+    both = counts.alias("a").join(anew.alias("b"), same, "full")
+    return both.select(
+        *[F.col(f"a.{c}").alias(c) for c in VALUE],
+        F.col("a.n").alias("n"),
+        F.col("a.n").eqNullSafe(F.col("b.n_anew")).alias("as_recounted"),
+    )

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,9 +42,12 @@ def feature_stages(
     leave_out: Sequence[str] = LEAVE_OUT,
     hash_columns: Sequence[str] = (),
     hash_slots: int = HASH_SLOTS,
+    labels: Mapping[str, Sequence[str]] | None = None,
 ) -> list:
     """Stages by column type, in the order of the columns, whatever the data hold.
 
+    Given the `labels` of every encoded column in the order of their slots, fitting reads no rows.
+
     Strings are indexed by frequency and one-hot encoded; a value that was not there at fit
     time, or null, sets no slot. The labels of such a column pass through the driver, and a forest
     keeps four bytes per slot for every training row, so a caller may name `hash_columns`, which
@@ -56,10 +59,15 @@ def feature_stages(
     stages: list = []
     if encoded:
         indexed_names = [f"{c}_indexed" for c in encoded]
-        stages += [
-            StringIndexer(inputCols=encoded, outputCols=indexed_names, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed_names, outputCols=[f"{c}_encoded" for c in encoded]),
-        ]
+        if labels is None:
+            stages.append(StringIndexer(inputCols=encoded, outputCols=indexed_names, handleInvalid="keep"))
+        else:
+            # one by one, as lists of unequal length cannot be given together
+            stages += [
+                StringIndexerModel.from_labels(list(labels[c]), c, f"{c}_indexed", handleInvalid="keep")
+                for c in encoded
+            ]
+        stages.append(OneHotEncoder(inputCols=indexed_names, outputCols=[f"{c}_encoded" for c in encoded]))
     if hashed:
         stages.append(FeatureHasher(inputCols=hashed, outputCol=HASHED, numFeatures=hash_slots))
     inputs = [
@@ -78,8 +86,9 @@ def fit_preprocessor(
     leave_out: Sequence[str] = LEAVE_OUT,
     hash_columns: Sequence[str] = (),
     hash_slots: int = HASH_SLOTS,
+    labels: Mapping[str, Sequence[str]] | None = None,
 ) -> PipelineModel:
-    stages = feature_stages(df, label_col, leave_out, hash_columns, hash_slots)
+    stages = feature_stages(df, label_col, leave_out, hash_columns, hash_slots, labels)
     return Pipeline(stages=stages).fit(df)
 
 

@@ -10,6 +10,7 @@ merge that breaks off, or that another writer was ahead of, leaves all as it was
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 from txscore.operators.latest import SEQUENCE, latest_scored
 from txscore.schemas import BATCH_SLICES, REJECTS, SCORED, STREAM_METRICS
 from txscore.settings import Settings
-from txscore.sources.manifest import BASE, Moved, Part, newest, swap, sweep
+from txscore.sources.manifest import BASE, Moved, Part, Record, newest, swap, sweep
 from txscore.sources.tables import base_and_since, read_parts, read_scored_parts, write_part
 
 # the base is written anew once the rows since are this share of it
@@ -78,6 +79,16 @@ def _switched(spark: SparkSession, cfg: Settings, table: str, old: list[Part], n
     return True
 
 
+def _most_gathered(record: Record, table: str, level: int) -> list[Part]:
+    """Parts of a level, not across the end of stored counts, which could not be brought up to date then."""
+    ends = sorted(p.covers for p in record.parts if p.counts_of == table)
+    sides: dict[int, list[Part]] = defaultdict(list)
+    for part in record.of(table):
+        if part.level == level:
+            sides[bisect_left(ends, part.sequence)].append(part)
+    return max(sides.values(), key=len, default=[])
+
+
 def merge_parts(spark: SparkSession, cfg: Settings) -> int:
     """Merge what has gathered of payments, rejects and batch metrics; returns how many merges there were."""
     if not cfg.stores_files:
@@ -89,7 +100,7 @@ def merge_parts(spark: SparkSession, cfg: Settings) -> int:
     }
     for table in (cfg.scored_table, *plain):
         for level in range(64):
-            of_level = [p for p in newest(spark, cfg).of(table) if p.level == level]
+            of_level = _most_gathered(newest(spark, cfg), table, level)
             if len(of_level) <= cfg.merge_after:
                 break
             if table == cfg.scored_table:

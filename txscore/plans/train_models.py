@@ -14,8 +14,8 @@ from txscore.operators import balance, features
 from txscore.operators.evaluate import quality
 from txscore.operators.forest import DEPTH, MAX_BINS, TREES, fit_forest
 from txscore.operators.splits import TRAIN_SHARE, in_training, random_split
-from txscore.plans.merge_tables import fold_payments
-from txscore.schemas import MODEL_COLUMNS
+from txscore.plans.payment_counts import Counted, class_counts, counted_payments, ordered_labels
+from txscore.schemas import MODEL_COLUMNS, SCORED
 from txscore.settings import Settings
 from txscore.sources.models import save_models
 from txscore.sources.tables import LABEL_SOURCES, current_scored, replace_slice
@@ -87,28 +87,50 @@ def balanced_rows(
     raise ValueError(f"unknown balance method: {options.method}")
 
 
-def train(rows: DataFrame, options: TrainingOptions = TrainingOptions()) -> Trained:
+def counted_by(rows: DataFrame, options: TrainingOptions) -> Counted:
+    """What a training has to know of all rows before it fits."""
+    strings = features.string_columns(rows.select(*MODEL_COLUMNS), leave_out=options.leave_out)
+    encoded = tuple(c for c in strings if c not in options.hash_columns)
+    return Counted(encoded, tuple(NUMBERS), options.train_share, options.label_sources)
+
+
+def train(
+    rows: DataFrame,
+    options: TrainingOptions = TrainingOptions(),
+    counts: DataFrame | None = None,
+) -> Trained:
     """Fit both models on (key, model columns, label) and measure them.
 
     Rows with a missing number cannot be scored. They are counted in `n_unusable`, not hidden.
+    Given the `counts` of the rows, sizes and labels come from them, and rows are read to train only.
     """
     spark = rows.sparkSession
     usable = features.usable(NUMBERS)
     holds_out = options.evaluate_on == "holdout"
     trains = in_training(F.col(KEY), options.train_share) if holds_out else F.lit(True)
     good = rows.filter(usable)
-    # all that has to be known before fitting, in one pass
-    known = rows.agg(
-        F.count_if(usable).alias("n_rows"),
-        F.count_if(~usable).alias("n_unusable"),
-        *[F.count_if(usable & trains & (F.col("label") == c)).alias(f"n_{c}") for c in (0, 1)],
-    ).first()
-    sizes = balance.both_present({c: known[f"n_{c}"] for c in (0, 1)})
+    labels = None
+    if counts is None:
+        # all that has to be known before fitting, in one pass
+        known = rows.agg(
+            F.count_if(usable).alias("n_rows"),
+            F.count_if(~usable).alias("n_unusable"),
+            *[F.count_if(usable & trains & (F.col("label") == c)).alias(f"n_{c}") for c in (0, 1)],
+        ).first()
+        n_rows, n_unusable = known["n_rows"], known["n_unusable"]
+        sizes = {c: known[f"n_{c}"] for c in (0, 1)}
+    else:
+        n_rows, n_unusable, by_side = class_counts(counts)
+        sides = (True,) if holds_out else (True, False)
+        sizes = {c: sum(by_side.get((c, side), 0) for side in sides) for c in (0, 1)}
+        labels = ordered_labels(counts, counted_by(rows, options).columns)
+    balance.both_present(sizes)
     preprocessor = features.fit_preprocessor(
         good.select(*MODEL_COLUMNS),
         leave_out=options.leave_out,
         hash_columns=options.hash_columns,
         hash_slots=options.hash_slots,
+        labels=labels,
     )
     used, used_sizes = balance.bounded(
         good.filter(trains), sizes, KEY, options.max_training_rows, options.seed
@@ -141,8 +163,8 @@ def train(rows: DataFrame, options: TrainingOptions = TrainingOptions()) -> Trai
         [{
             "method": options.method,
             "evaluated_on": options.evaluate_on,
-            "n_rows": known["n_rows"],
-            "n_unusable": known["n_unusable"],
+            "n_rows": n_rows,
+            "n_unusable": n_unusable,
             **measured.asDict(),
         }],
         "method string, evaluated_on string, n_rows long, n_unusable long, n_test long,"
@@ -158,10 +180,17 @@ def train_models(
     version: str,
     options: TrainingOptions = TrainingOptions(),
 ) -> DataFrame:
-    """Retrain on all payments stored so far, each once as last written, save under the version, return the metrics row."""
-    fold_payments(spark, cfg)
-    stored = current_scored(spark, cfg, options.label_sources)
-    trained = train(training_rows(stored), options)
+    """Retrain on all payments stored so far, each once as last written, save under the version, return the metrics row.
+
+    Of files, counts are brought up to date from what was written since the last training with
+    the same options; a connector's store is counted anew.
+    """
+    if cfg.stores_files:
+        layout = spark.createDataFrame([], SCORED)
+        stored, counts = counted_payments(spark, cfg, counted_by(layout, options))
+    else:
+        stored, counts = current_scored(spark, cfg, options.label_sources), None
+    trained = train(training_rows(stored), options, counts)
     metrics = trained.metrics.select(F.lit(version).alias("version"), "*")
     replace_slice(metrics, cfg, cfg.metric_table, {"version": version})
     save_models(spark, cfg, trained.preprocessor, trained.forest, version)

@@ -102,6 +102,15 @@ STREAM_METRICS = T.StructType([
     T.StructField("end_offsets", T.StringType()),
 ])
 
+# how often a value stands in a column of current payments; classes under the column `is_fraud`
+COUNTS = T.StructType([
+    T.StructField("column_name", T.StringType()),
+    T.StructField("value", T.StringType()),
+    T.StructField("is_usable", T.BooleanType()),
+    T.StructField("trains", T.BooleanType()),
+    T.StructField("n", T.LongType()),
+])
+
 VERSIONS = T.StructType([
     T.StructField("name", T.StringType()),
     T.StructField("version", T.StringType()),

@@ -29,6 +29,7 @@ class Settings:
     metric_table: str = "model_metrics"
     version_table: str = "versions"
     stream_metric_table: str = "stream_metrics"
+    count_table: str = "payment_counts"
 
     # parts that a table may gather before they are merged, and folders of the merged payments
     merge_after: int = 16
@@ -44,7 +45,7 @@ class Settings:
     stop_marker: str = ""
     batch_interval_ms: int = 10_000
     source_zone: str = "UTC"
-    topic: str = "credit_card_transaction"
+    topic: str = "payments"
     bootstrap_servers: str = ""
     group_id: str = ""
     auto_offset_reset: str = "latest"

@@ -225,22 +225,38 @@ def base_and_since(parts: Sequence[Part]) -> tuple[list[Part], list[Part]]:
     return base, [p for p in parts if p not in base]
 
 
+def has_every_source(label_sources: Sequence[str] | None) -> bool:
+    return label_sources is None or set(label_sources) >= set(LABEL_SOURCES)
+
+
 def current_scored(
     spark: SparkSession, cfg: Settings, label_sources: Sequence[str] | None = None
 ) -> DataFrame:
     """One row per transaction number: the last write of the given sources wins.
 
-    Merged payments, or those of the first load, have one row per key already. Only the parts written
-    since are brought down to their last writes, and the keys of those leave the others by an anti join;
-    they are broadcast while they are few. A connector's store keeps one row per key, and does not
-    know sources.
+    A connector's store keeps one row per key, and does not know sources.
     """
-    every = label_sources is None or set(label_sources) >= set(LABEL_SOURCES)
     if not cfg.stores_files:
-        if not every:
+        if not has_every_source(label_sources):
             raise ValueError("this store does not tell loaded labels from predicted ones")
         return read_scored(spark, cfg)
-    merged, later = base_and_since(newest(spark, cfg).of(cfg.scored_table))
+    return current_of_parts(spark, cfg, newest(spark, cfg).of(cfg.scored_table), label_sources)
+
+
+def current_of_parts(
+    spark: SparkSession,
+    cfg: Settings,
+    parts: Sequence[Part],
+    label_sources: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row per transaction number of some parts, which are in the order of their commits.
+
+    Merged payments, or those of the first load, have one row per key already. Only the parts written
+    since are brought down to their last writes, and the keys of those leave the others by an anti join;
+    they are broadcast while they are few.
+    """
+    every = has_every_source(label_sources)
+    merged, later = base_and_since(parts)
     since = [p for p in later if every or p.source is None or p.source in label_sources]
     wanted = F.lit(True) if every else F.col("label_source").isin(*label_sources)
     current = F.coalesce("is_current", F.lit(True))
@@ -250,11 +266,15 @@ def current_scored(
     new = latest_scored(read_scored_parts(spark, cfg, since).filter(wanted))
     if merged:
         keys = new.select("transaction_number").filter("transaction_number is not null")
-        few = sum(p.rows for p in since) * KEY_BYTES <= BROADCAST_LIMIT
-        old = old.join(F.broadcast(keys) if few else keys, "transaction_number", "left_anti")
+        old = old.join(few_keys(keys, since), "transaction_number", "left_anti")
     return old.unionByName(new).drop(*MERGED.fieldNames())
 
 
+def few_keys(keys: DataFrame, parts: Sequence[Part]) -> DataFrame:
+    """Keys of rows of the parts, broadcast if all of them fit."""
+    return F.broadcast(keys) if sum(p.rows for p in parts) * KEY_BYTES <= BROADCAST_LIMIT else keys
+
+
 def read_class(spark: SparkSession, cfg: Settings, is_fraud: int, latest: bool = True) -> DataFrame:
     """Payments whose last write has this class.
 
