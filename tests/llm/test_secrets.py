@@ -180,3 +180,17 @@ def test_threshold_holds_recall_over_all_counts():
         assert net.recall >= recall
     net.set_threshold(raw, y, n, 1.0, floor=0.999)
     assert net.threshold == 0.999 and net.recall < 1
+
+
+def test_large_ids_beside_a_null_stay_exact(spark):
+    key = "0123456789abcdef" * 2
+    large = [2**53 + 1, 2**62 + 3, -(2**60) - 1]
+    rows = [(i, f"token={key}", 2**53 + 1) for i in large] + [(None, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").coalesce(1)
+    net = secrets.fit_network([], [])
+    found = secrets.find_secrets(docs, net).collect()
+    assert {r.doc_id: len(r.findings) for r in found} == {**dict.fromkeys(large, 2), None: 0}
+    cleaned = secrets.redact(docs, net).collect()
+    assert {(r.doc_id, r.text, r.n) for r in cleaned} == {
+        *((i, "token=[SECRET]", 2**53 + 1) for i in large), (None, "x", None)
+    }
