@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks import scans
 from checks.base import view
 from txscore.plans.load_history import history_rejects, load_history
 from txscore.plans.replay import replay
@@ -100,3 +101,19 @@ def test_latest_view_has_one_row_per_number(spark, sf_dir, cfg):
     newest = latest_scored(rows)
     assert newest.count() * 2 == rows.count()
     assert newest.filter("batch_id <> 1").count() == 0
+
+
+def test_repeats_are_written_in_order_and_not_by_one_task(spark):
+    """What the upsert queries load: each payment once per factor, later factors in later files."""
+    cfg = scans.scratch_settings(spark)
+    rows = spark.range(0, 400, 1, 4).select(
+        F.col("id").cast("string").alias("transaction_number"), F.lit(1.0).alias("amount")
+    )
+    scans._amounts(spark, cfg, rows, 1, 2, 4)
+    written = spark.read.option("header", True).csv(cfg.transaction_csv).select(
+        "transaction_number", F.col("amount").cast("double").alias("amount"),
+        F.col("_metadata.file_path").alias("file"),
+    )
+    found = sorted((r.file, r.amount) for r in written.collect())
+    assert [a for _, a in found] == [1.0] * 400 + [2.0] * 400 + [4.0] * 400
+    assert len({f for f, _ in found}) == 12
