@@ -10,12 +10,12 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txscore.operators.features import FEATURES
+from txscore.operators.wide import sparse_vector
 from txscore.session import shared_folder
 
 # most centres that one fit compares all rows with and keeps on the driver
@@ -30,12 +30,6 @@ _STEP = 1e-6
 _FOUND = "cluster string, n long, size int, slots array<int>, numbers array<double>"
 
 
-@F.udf(VectorUDT())
-def _vector(size, slots, numbers):
-    """Only for the centres: Spark has no built-in function from slots to a vector."""
-    return Vectors.sparse(size, slots, numbers)
-
-
 def two_level_centers(
     features: DataFrame, k: int, max_iter: int, seed: int, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
@@ -65,7 +59,7 @@ def two_level_centers(
         vector["values"].alias("numbers"),
     )
     found = shared.groupBy("cell", "part").applyInPandas(_fine_centres(max_iter, seed), _FOUND)
-    return found.select("cluster", "n", _vector("size", "slots", "numbers").alias(FEATURES))
+    return found.select("cluster", "n", sparse_vector("size", "slots", "numbers").alias(FEATURES))
 
 
 def _cells(rows: DataFrame, coarse: int, max_iter: int, seed: int) -> DataFrame:

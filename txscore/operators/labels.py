@@ -41,22 +41,22 @@ def with_position(df: DataFrame, name: str, *order: Column) -> DataFrame:
     )
 
 
-def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column_name, label, n, label_index): index by falling count, then by label.
-
-    One pass counts all columns. Equal to what a fitted string indexer holds, but not bound by
-    the driver's memory.
-    """
+def label_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, label, n) without nulls; one pass counts all columns."""
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("label")) for c in columns])
     )
-    counts = (
+    return (
         df.select(pairs.alias("pair"))
         .select("pair.*")
         .filter(F.col("label").isNotNull())
         .groupBy("column_name", "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def numbered_labels(counts: DataFrame) -> DataFrame:
+    """(column_name, label, n, label_index) from label counts: by falling count, then by label."""
     numbered = with_position(
         counts, "_position", F.col("column_name"), F.col("n").desc(), F.col("label")
     )
@@ -65,3 +65,12 @@ def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
     return numbered.join(F.broadcast(first), "column_name").select(
         "column_name", "label", "n", (F.col("_position") - F.col("_first")).alias("label_index")
     )
+
+
+def label_index(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, label, n, label_index): index by falling count, then by label.
+
+    One pass counts all columns. Equal to what a fitted string indexer holds, but not bound by
+    the driver's memory.
+    """
+    return numbered_labels(label_counts(df, columns))

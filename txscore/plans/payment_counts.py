@@ -152,6 +152,18 @@ def class_counts(counts: DataFrame) -> tuple[int, int, dict[tuple[int, bool], in
     return sum(by_side.values()), sum(r.n for r in rows if not r.is_usable), by_side
 
 
+def label_counts_of(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, label, n) of the values of the columns."""
+    values = counts.filter(F.col("column_name").isin(*columns))
+    return values.select("column_name", F.col("value").alias("label"), "n")
+
+
+def has_more_labels(counts: DataFrame, columns: Sequence[str], limit: int) -> bool:
+    """Whether a column has more values than that; a row per column reaches the driver."""
+    found = label_counts_of(counts, columns).groupBy("column_name").count().collect() if columns else []
+    return any(r["count"] > limit for r in found)
+
+
 def ordered_labels(counts: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Values of each column by falling count, then by text, as an indexer fitted on all rows has them."""
     rows = counts.filter(F.col("column_name").isin(*columns)).collect() if columns else []

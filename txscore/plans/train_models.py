@@ -13,8 +13,16 @@ from pyspark.sql import functions as F
 from txscore.operators import balance, features
 from txscore.operators.evaluate import quality
 from txscore.operators.forest import DEPTH, MAX_BINS, TREES, fit_forest
+from txscore.operators.labels import label_counts
 from txscore.operators.splits import TRAIN_SHARE, in_training, random_split
-from txscore.plans.payment_counts import Counted, class_counts, counted_payments, ordered_labels
+from txscore.plans.payment_counts import (
+    Counted,
+    class_counts,
+    counted_payments,
+    has_more_labels,
+    label_counts_of,
+    ordered_labels,
+)
 from txscore.schemas import MODEL_COLUMNS, SCORED
 from txscore.settings import Settings
 from txscore.sources.models import save_models
@@ -109,21 +117,28 @@ def train(
     holds_out = options.evaluate_on == "holdout"
     trains = in_training(F.col(KEY), options.train_share) if holds_out else F.lit(True)
     good = rows.filter(usable)
-    labels = None
+    columns = counted_by(rows, options).columns
+    labels = values = None
     if counts is None:
         # all that has to be known before fitting, in one pass
         known = rows.agg(
             F.count_if(usable).alias("n_rows"),
             F.count_if(~usable).alias("n_unusable"),
             *[F.count_if(usable & trains & (F.col("label") == c)).alias(f"n_{c}") for c in (0, 1)],
+            F.greatest(F.lit(0), F.lit(0), *features.label_sizes(columns)).alias("most_labels"),
         ).first()
         n_rows, n_unusable = known["n_rows"], known["n_unusable"]
         sizes = {c: known[f"n_{c}"] for c in (0, 1)}
+        if known["most_labels"] > features.DRIVER_LABELS:
+            values = label_counts(good, list(columns))
     else:
         n_rows, n_unusable, by_side = class_counts(counts)
         sides = (True,) if holds_out else (True, False)
         sizes = {c: sum(by_side.get((c, side), 0) for side in sides) for c in (0, 1)}
-        labels = ordered_labels(counts, counted_by(rows, options).columns)
+        if has_more_labels(counts, columns, features.DRIVER_LABELS):
+            values = label_counts_of(counts, columns)
+        else:
+            labels = ordered_labels(counts, columns)
     balance.both_present(sizes)
     preprocessor = features.fit_preprocessor(
         good.select(*MODEL_COLUMNS),
@@ -131,6 +146,8 @@ def train(
         hash_columns=options.hash_columns,
         hash_slots=options.hash_slots,
         labels=labels,
+        counts=values,
+        driver_labels=None,
     )
     used, used_sizes = balance.bounded(
         good.filter(trains), sizes, KEY, options.max_training_rows, options.seed
