@@ -325,3 +325,22 @@ def test_marker_ends_the_stream(spark, cfg, inbox, tmp_path):
 def test_a_stream_that_ends_by_itself_needs_no_marker(spark, cfg, inbox):
     stream = start_scoring(spark, cfg, watch(spark, inbox), large_is_fraud, until_caught_up=True)
     assert not await_end(stream, spark, cfg, look_every=0.2)
+
+
+def test_only_rejects_keep_their_text(spark, sf_dir, cfg, monkeypatch):
+    """Before, the kept rows of a batch held the text of every payment, most of a row."""
+    kept = []
+    store = scoring.store_batch
+
+    def watched(scored, matched, *rest):
+        text = F.col("value").isNotNull()
+        kept.append(matched.groupBy(F.col("reject_reason").isNotNull()).agg(F.count_if(text), F.count("*")).collect())
+        return store(scored, matched, *rest)
+
+    monkeypatch.setattr(scoring, "store_batch", watched)
+    records = view(spark, sf_dir, "payments_json")
+    n_stored, n_rejected = score_batch(records, 0, "one", cfg, large_is_fraud)
+    assert {tuple(r) for r in kept[0]} == {(False, 0, n_stored), (True, n_rejected, n_rejected)}
+    lost = rejected(match_customers(parse_payments(records), view(spark, sf_dir, "customers")))
+    stored = read_rejects(spark, cfg).select(*lost.columns)
+    assert stored.exceptAll(lost).isEmpty() and lost.exceptAll(stored).isEmpty()

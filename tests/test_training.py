@@ -258,3 +258,19 @@ def test_unknown_method_is_an_error(vectors):
 
     with pytest.raises(ValueError, match="luck"):
         balanced_rows(vectors, {0: 1, 1: 1}, TrainingOptions(method="luck"))
+
+
+def test_rows_are_made_once_without_counts(spark, history):
+    """Before, four passes over the rows each made them anew."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(amount):
+        made.add(1)
+        return amount
+
+    small = history.select("transaction_number", *MODEL_COLUMNS, "label").withColumn(
+        "amount", counted("amount")
+    )
+    row = train(small, TrainingOptions(trees=2)).metrics.first()
+    assert made.value == history.count() == row["n_rows"]

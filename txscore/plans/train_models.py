@@ -111,13 +111,24 @@ def train(
 
     Rows with a missing number cannot be scored. They are counted in `n_unusable`, not hidden.
     Given the `counts` of the rows, sizes and labels come from them, and rows are read to train only.
+    Without them the rows are read for all of it, so they are kept, on disk beyond memory, and made once.
     """
+    if counts is not None:
+        return _train(rows, options, counts)
+    kept = rows.select(KEY, *MODEL_COLUMNS, "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _train(kept, options, None)
+    finally:
+        kept.unpersist()
+
+
+def _train(rows: DataFrame, options: TrainingOptions, counts: DataFrame | None) -> Trained:
     spark = rows.sparkSession
     usable = features.usable(NUMBERS)
     holds_out = options.evaluate_on == "holdout"
     trains = in_training(F.col(KEY), options.train_share) if holds_out else F.lit(True)
-    good = rows.filter(usable)
     columns = counted_by(rows, options).columns
+    good = rows.filter(usable)
     labels = values = None
     if counts is None:
         # all that has to be known before fitting, in one pass
@@ -152,7 +163,7 @@ def train(
     used, used_sizes = balance.bounded(
         good.filter(trains), sizes, KEY, options.max_training_rows, options.seed
     )
-    # only what is trained on is kept, and that is bounded
+    # of the vectors only those that are trained on are kept, and they are bounded
     vectors = (
         preprocessor.transform(used)
         .select(KEY, features.FEATURES, "label")

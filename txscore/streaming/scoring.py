@@ -104,7 +104,10 @@ def score_batch(
     try:
         known = (size or SnapshotSize())(customers, version)
         side = customers_for(payments, customers, broadcast_limit, known)
-        matched = match_customers(payments, side).persist()
+        matched = match_customers(payments, side)
+        # the text is stored with rejects alone, and is most of a row
+        text = F.when(F.col("reject_reason").isNotNull(), F.col("value"))
+        matched = matched.withColumn("value", text).persist()
         try:
             scored = rename_columns(scorer(accepted(matched)), {"prediction": "is_fraud"})
             # of payments with the same number in a batch the one with the last offset
@@ -140,9 +143,11 @@ def store_batch(
         return accepted(matched).count(), lost.count()
     key = f"{run_id}/{batch_id}"
     positions = max_offset_per_partition(stored_offsets(spark, cfg).unionByName(done))
+    # rejects first: they read the kept rows once, and so make them once; payments read them twice at a time
+    reject_part = write_part(lost, cfg, cfg.reject_table, key)
     parts = [
         scored_part(scored, cfg, "predicted", run_id, batch_id, compact=True, unique=True),
-        write_part(lost, cfg, cfg.reject_table, key),
+        reject_part,
         write_part(
             positions.select(F.lit(cfg.topic).alias("topic"), "partition", "offset"),
             cfg,
