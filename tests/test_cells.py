@@ -5,9 +5,11 @@ import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tests.plans import planned
 from txscore.operators import balance, cells
 
 SCHEMA = T.StructType([T.StructField("features", VectorUDT())])
@@ -132,3 +134,52 @@ def test_a_centre_without_rows_gets_the_farthest():
     cells._fill_empty(own, far, 4)
     # the last row stands alone and stays
     assert sorted(own[:3]) == [0, 1, 3] and own[0] == 0 and own[3] == 2
+
+
+def test_variance_of_parts_equals_that_of_whole_vectors(scattered):
+    """Sums of the slots that rows have, in place of a summary that lays all slots out."""
+    df, _ = scattered
+    rows = df.groupBy("features").agg(F.count(F.lit(1)).alias("n"))
+    parts = rows.withColumns({"cell": F.pmod(F.hash("features"), F.lit(5)), "part": F.lit(0)})
+    whole = parts.groupBy("cell").agg(Summarizer.variance(F.col("features"), F.col("n")).alias("v"))
+    whole = {r["cell"]: sum(r["v"].toArray()) for r in whole.collect()}
+    sums = parts.groupBy("cell", "part").agg(
+        F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squared_rows")
+    )
+    mine = sums.join(cells._moments(parts), ["cell", "part"]).select("cell", cells._variance().alias("v"))
+    mine = {r["cell"]: r["v"] for r in mine.collect()}
+    assert mine.keys() == whole.keys()
+    assert all(mine[c] == pytest.approx(whole[c], rel=1e-9) for c in whole)
+
+
+def test_wide_vectors_are_folded_for_the_coarse_centres(spark, monkeypatch):
+    """Before, every coarse centre was laid out on the driver with all slots, here a million."""
+    wide = 1_000_000
+    rng = np.random.default_rng(5)
+    data = [
+        Vectors.sparse(wide, [int(rng.integers(0, 900_000)), wide - 2, wide - 1], [1.0, rng.normal(), rng.uniform(0, 90)])
+        for _ in range(900)
+    ]
+    seen = []
+
+    class Watched(KMeans):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.select(self.getFeaturesCol()).first()[0].size)
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(cells, "KMeans", Watched)
+    found = cells.two_level_centers(frame(spark, data), 40, 5, 1).collect()
+    assert seen == [cells.COARSE_SLOTS]
+    assert len(found) == 40 and sum(r["n"] for r in found) == 900
+    assert {r["features"].size for r in found} == {wide}
+    total = sum(float(r["features"][wide - 1]) * r["n"] for r in found)
+    assert total == pytest.approx(sum(float(v[wide - 1]) for v in data))
+    slots = {int(i): 0.0 for r in found for i in r["features"].indices}
+    assert slots.keys() == {int(i) for v in data for i in v.indices}
+
+
+def test_centres_are_found_once(scattered):
+    """Before, each pass of a forest over the centres clustered every part again."""
+    df, _ = scattered
+    plan = planned(cells.two_level_centers(df, 300, 3, 1))
+    assert "FlatMapGroupsInPandas" not in plan
