@@ -274,3 +274,29 @@ def test_rows_are_made_once_without_counts(spark, history):
     )
     row = train(small, TrainingOptions(trees=2)).metrics.first()
     assert made.value == history.count() == row["n_rows"]
+
+
+@pytest.mark.parametrize("clustered", [False, True], ids=["stream_forest", "clustered_retrain"])
+def test_all_training_rows_are_trained_on(history, monkeypatch, clustered):
+    """Before, rows beyond five million were left out; the counts here tell of more than that."""
+    from dataclasses import replace
+
+    from txscore.plans import train_models
+    from txscore.plans.payment_counts import CLASS, count_values
+
+    options = replace(CLUSTERED if clustered else TrainingOptions(), trees=2, clusters=5, kmeans_iterations=2)
+    small = history.select("transaction_number", *MODEL_COLUMNS, "label")
+    counted = train_models.counted_by(small, options)
+    counts = count_values(small.withColumnRenamed("label", CLASS), counted)
+    many = F.when(F.col("column_name") == CLASS, F.col("n") * 10_000).otherwise(F.col("n"))
+    seen = []
+    real = train_models.balanced_rows
+
+    def balanced(vectors, sizes, options):
+        seen.append((vectors.count(), sum(sizes.values())))
+        return real(vectors, sizes, options)
+
+    monkeypatch.setattr(train_models, "balanced_rows", balanced)
+    train(small, options, counts.withColumn("n", many))
+    training = small if clustered else hash_split(small, "transaction_number")[0]
+    assert seen == [(training.count(), training.count() * 10_000)]
