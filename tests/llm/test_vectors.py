@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.plans import executed
 from txscore.llm import neighbours, topk
 from txscore.llm.vectors import distinct_rows
 
@@ -167,3 +168,13 @@ def test_own_rows_take_no_place(spark):
     assert found(neighbours.nearest(table_of, is_query, 5, certainty=1.1)) == wanted
     # alone, the last of the ties has no other row to hide behind
     assert [i for i, _ in found(topk.top_k(table(spark, tied), is_query, 5))[50]] == [101, 102, 103, 104, 105]
+
+
+@pytest.mark.parametrize("search", ["top_k", "nearest"])
+def test_blocks_of_queries_are_not_broadcast(spark, search):
+    """Before, they were where they looked small, with a copy for each block of candidates."""
+    df = table(spark, [(i, [float(i % 7), float(i % 11)]) for i in range(200)])
+    run = topk.top_k if search == "top_k" else neighbours.nearest
+    result = run(df, F.col("vec_id") % 50 == 0, 3, block_rows=16)
+    plan = executed(result)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -123,7 +123,11 @@ def blocks(
 
 
 def grid(candidates: DataFrame, n_candidates: int, queries: DataFrame, n_queries: int) -> DataFrame:
-    """Each candidate block with each query block, spread by both numbers."""
+    """Each candidate block with each query block, spread by both numbers.
+
+    Both sides are shuffled, whatever their estimated size: the planner goes by the blocks before they
+    are repeated, and a broadcast would bring all the copies to the driver.
+    """
     ours = candidates.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     theirs = queries.select(
         F.col("block").alias("q_block"),
@@ -132,7 +136,7 @@ def grid(candidates: DataFrame, n_candidates: int, queries: DataFrame, n_queries
         F.col("vectors").alias("q_vectors"),
         F.explode(F.sequence(F.lit(0), F.lit(n_candidates - 1))).alias("block"),
     )
-    return ours.join(theirs, ["block", "q_block"])
+    return ours.join(theirs.hint("merge"), ["block", "q_block"])
 
 
 def query_rows(row) -> tuple[np.ndarray, np.ndarray]:
