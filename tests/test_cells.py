@@ -183,3 +183,39 @@ def test_centres_are_found_once(scattered):
     df, _ = scattered
     plan = planned(cells.two_level_centers(df, 300, 3, 1))
     assert "FlatMapGroupsInPandas" not in plan
+
+
+@pytest.mark.parametrize("n_slots", [40, 9])
+def test_products_by_slots_equal_those_of_full_rows(n_slots):
+    """Before, every row was laid out with all slots of its part."""
+    rng = np.random.default_rng(3)
+    data = np.zeros((50, n_slots))
+    data[np.arange(50), rng.integers(1, n_slots - 1, 50)] = rng.choice([1.0, 2.5], 50)
+    data[1:, -1] = rng.random(49)
+    data[7] = 0
+    row, slot = np.nonzero(data)
+    table = cells.SparseRows(row, slot, data[row, slot], 50, n_slots)
+    assert (table.few is not None) == (n_slots == 40)
+    if table.few:
+        table.full = None  # not called
+    centres = rng.random((6, n_slots))
+    own, far = table.nearest(centres)
+    apart = ((data[:, None] - centres) ** 2).sum(axis=2)
+    assert (own == apart.argmin(axis=1)).all() and np.allclose(far, apart.min(axis=1))
+
+
+def test_parts_are_spread_over_tasks(scattered, monkeypatch):
+    """Before, adaptive execution put parts of little data, but much work, into a few tasks."""
+    df, _ = scattered
+    tasks = []
+    plain = type(df).checkpoint
+
+    def seen(rows, *args):
+        out = plain(rows, *args)
+        if "cluster" in rows.columns:
+            tasks.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(type(df), "checkpoint", seen)
+    assert cells.two_level_centers(df, 49, 3, 1, 20).count() == 49
+    assert tasks == [13]
